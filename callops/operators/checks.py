@@ -8,15 +8,15 @@ from callops.schema import STATUS
 
 
 def with_reasons(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """Add ``reasons``: the names of all rules a row breaks (a rule is a condition that must hold)."""
+    """Add ``broken_rules``: the names of all rules a row breaks (a rule is a condition that must hold)."""
     broken = [F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()]
-    return df.withColumn("reasons", F.array_compact(F.array(*broken)))
+    return df.withColumn("broken_rules", F.array_compact(F.array(*broken)))
 
 
 def split_valid(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Good rows, and rejected rows with their reasons. Together they are exactly the input."""
     checked = with_reasons(df, rules)
-    return checked.where(F.size("reasons") == 0).drop("reasons"), checked.where(F.size("reasons") > 0)
+    return checked.where(F.size("broken_rules") == 0).drop("broken_rules"), checked.where(F.size("broken_rules") > 0)
 
 
 def key_drift(keys: DataFrame, allowed: list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from callops import schema
 from callops.functions.dates import monday_week_number
 from callops.functions.numbers import flag, percent
 from callops.operators.reshape import roster_calendar
-from callops.operators.skew import salted_lookup_join
+from callops.operators.skew import lookup_join
 from callops.plans.people import one_per_employee
 from callops.plans.shifts import SHIFT
 
@@ -40,7 +40,7 @@ def adherence_report(roster: DataFrame, logins: DataFrame, agent_days: DataFrame
         "employeeid", F.col("employeename").alias("_name"), F.col("employeeid").alias("emp_deatail_id"),
         "sip", F.col("team_lead").alias("tl"), "manager", "sr__manager", "team_lead_name", "manager_name")
 
-    joined = salted_lookup_join(
+    joined = lookup_join(
         rostered.join(sessions, _WORK, "full").join(breaks, _WORK, "left"),
         people, ["employeeid"], ["date"],
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from callops import schema
 from callops.functions.numbers import flag, percent
 from callops.functions.text import blank_to_null, rating_number
-from callops.operators.skew import salted_lookup_join
+from callops.operators.skew import lookup_join, salted_lookup_join
 from callops.operators.windows import repeat_contacts
 
 
@@ -69,7 +69,10 @@ def call_report(calls: DataFrame, surveys: DataFrame, quality: DataFrame,
         F.col("agent_id").alias("user"), "customer_number",
     ).agg(F.round(F.avg("overall_score"), 2).alias("quality_score"))
     scored = salted_lookup_join(
-        flagged.join(answers, "lead_id", "left"), audits, ["user", "customer_number"], ["lead_id"])
+        lookup_join(flagged, answers, ["lead_id"], ["call_date", "customer_number"]),
+        audits, ["user", "customer_number"], ["lead_id"],
+        key_counts=calls.dropna(subset=["user", "customer_number"]).groupBy("user", "customer_number").agg(
+            F.count(F.lit(1)).alias("_rows")))
     return scored.withColumns({
         "ftr": flag((F.col("ans") == 1) & (F.col("repeat_7days") == 0)),
         "csat": flag(rating_number(F.col("survey_feedback")) >= 4),

@@ -128,5 +128,5 @@ def quarantine_split(star: Star):
     rows = star.attrition()
     good, bad = checks.split_valid(rows, {"date": dt.lenient_date(F.col("date")).isNotNull()})
     kept = good.groupBy(F.lit(None).cast("string").alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
-    aside = bad.groupBy(F.explode("reasons").alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
+    aside = bad.select(F.explode("broken_rules").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
     return kept.unionByName(aside)
