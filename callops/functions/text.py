@@ -49,9 +49,8 @@ def quotes_dropped(c: Column) -> Column:
 def sanitise_rows(df: DataFrame, rule, columns: list[str] | None = None) -> DataFrame:
     """Apply a quote rule to all text columns of those rows that hold an apostrophe anywhere."""
     text = columns or [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    dirty = _has_apostrophe(text)
-    return df.select(*[
-        F.when(dirty, rule(F.col(f"`{c}`"))).otherwise(F.col(f"`{c}`")).alias(c)
+    return df.withColumn("_dirty", _has_apostrophe(text)).select(*[
+        F.when(F.col("_dirty"), rule(F.col(f"`{c}`"))).otherwise(F.col(f"`{c}`")).alias(c)
         if c in text else F.col(f"`{c}`")
         for c in df.columns
     ])

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from callops.plans.star import Star
+from callops.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,7 +18,7 @@ def query(oracle: str | None = None):
 
     def register(build: Callable[[Star], DataFrame]):
         name = build.__name__
-        QUERIES[name] = lambda spark, folder: build(Star(spark, folder))
+        QUERIES[name] = lambda spark, folder: build(Star(tune(spark), folder))
         if oracle is not None:
             ORACLES[name] = oracle
         return build

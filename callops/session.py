@@ -28,7 +28,19 @@ def build_session(app: str = "callops", master: str | None = None, **conf: str)
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Settings of a running session that wide rows need; results do not depend on them.
+
+    The JVM does not compile methods beyond 8000 bytes of bytecode. Whole-stage code for rows of 50
+    and more computed columns exceeds that and would be interpreted, so let Spark use its split
+    projections there instead.
+    """
+    if spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65535":
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:

@@ -37,70 +37,64 @@ def declared_rows(envelopes: DataFrame) -> DataFrame:
 def raw_rows(envelopes: DataFrame) -> DataFrame:
     """One row per object, still JSON text (``raw``)."""
     carried = [c for c in envelopes.columns if c not in ("message", "data")]
-    return envelopes.select(*carried, F.explode("data").alias("raw"))
+    # the outer form keeps the optimizer from parsing the list again just to test that it is not empty
+    return envelopes.select(*carried, F.explode_outer("data").alias("raw")).where("raw is not null")
 
 
-def _entries(json: Column) -> Column:
-    return F.map_entries(F.from_json(json, "map<string,string>"))
+def _with_keys(df: DataFrame, json: Column, keys: str, values: str) -> DataFrame:
+    """Add the lower-case keys and the values of a JSON object as two arrays, last entry first."""
+    parsed = df.withColumn("_object", F.from_json(json, "map<string,string>"))
+    return parsed.withColumns({
+        keys: F.reverse(F.transform(F.map_keys("_object"), F.lower)),
+        values: F.reverse(F.map_values("_object")),
+    }).drop("_object")
 
 
-def _lowered(entries: Column) -> Column:
-    return F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+def _value(keys: str, values: str, key: str) -> Column:
+    """The value of a key; of equal keys the last one counts, an absent key is NULL."""
+    return F.get(F.col(values), F.array_position(keys, F.lit(key)).cast("int") - 1)
 
 
-def _last_wins(entries: Column) -> Column:
-    """Entries → map; of equal keys the last one counts. The quadratic path runs on such rows only."""
-    keys = F.transform(entries, lambda e: e["key"])
-    unique = F.size(F.array_distinct(keys)) == F.size(keys)
-    kept = F.filter(
-        entries,
-        lambda e, i: F.array_position(F.reverse(keys), e["key"]) == F.size(keys) - i,
-    )
-    return F.map_from_entries(F.when(unique, entries).otherwise(kept))
+def frozen(envelopes: DataFrame, columns: list[str]) -> DataFrame:
+    """Project row objects to the frozen column list, keys in any case.
 
-
-def lowered_keys(raw: Column) -> Column:
-    """Row object → map with lower-case keys."""
-    return _last_wins(_lowered(_entries(raw)))
+    Unknown keys drop out, absent ones are NULL.
+    """
+    rows = _with_keys(raw_rows(envelopes), F.col("raw"), "_k", "_v")
+    carried = [c for c in envelopes.columns if c not in ("message", "data")]
+    return rows.select(*carried, *[_value("_k", "_v", c).alias(c) for c in columns])
 
 
-def agent_keys(raw: Column) -> Column:
-    """Agent object → map; the keys of a filled ``breaks`` object are lowered and merged over it.
+def agent_feed(envelopes: DataFrame) -> DataFrame:
+    """Agent objects: keys must match exactly, but the keys of a filled ``breaks`` object are
+    lowered and take precedence over the agent's own.
 
-    Without breaks the agent's own row is kept and ``breaks`` is NULL; top-level keys must match
-    exactly.
+    Without breaks the agent's own row is kept and ``breaks`` is NULL.
     """
-    own = F.filter(_entries(raw), lambda e: e["key"] != "breaks")
-    found = F.filter(_entries(raw), lambda e: e["key"] == "breaks")
-    breaks = F.coalesce(_entries(F.get(F.reverse(found), F.lit(0))["value"]), F.array().cast("array<struct<key:string,value:string>>"))
-    mark = F.struct(
-        F.lit("breaks").alias("key"),
-        F.when(F.size(breaks) > 0, F.lit("0")).alias("value"),
-    )
-    return _last_wins(F.concat(own, F.array(mark), _lowered(breaks)))
+    columns = schema.AGENT_LANDING
+    own = ", ".join(f"{c} string" for c in columns)
+    rows = raw_rows(envelopes).withColumn("_own", F.from_json("raw", own))
+    rows = _with_keys(rows, F.col("_own.breaks"), "_k", "_v")
 
+    def value(c: str) -> Column:
+        mine = F.when(F.size("_k") > 0, F.lit("0")) if c == "breaks" else F.col(f"_own.{c}")
+        return F.when(F.array_contains("_k", F.lit(c)), _value("_k", "_v", c)).otherwise(mine).alias(c)
 
-def frozen(rows: DataFrame, keys: Column, columns: list[str], carry: list[str]) -> DataFrame:
-    """Project a key map to the frozen column list: unknown keys drop out, absent ones are NULL."""
-    return rows.select(*carry, keys.alias("_keys")).select(
-        *carry, *[F.col("_keys").getItem(c).alias(c) for c in columns])
-
-
-def agent_feed(envelopes: DataFrame) -> DataFrame:
-    return frozen(raw_rows(envelopes), agent_keys(F.col("raw")), schema.AGENT_LANDING, ["date"])
+    carried = [c for c in envelopes.columns if c not in ("message", "data")]
+    return rows.select(*carried, *[value(c) for c in columns])
 
 
 def call_feed(envelopes: DataFrame) -> DataFrame:
-    rows = frozen(raw_rows(envelopes), lowered_keys(F.col("raw")), schema.EXPORT_CALL_LANDING, ["date"])
+    rows = frozen(envelopes, schema.EXPORT_CALL_LANDING)
     return text.sanitise_rows(rows, text.quotes_to_backtick, schema.EXPORT_CALL_LANDING)
 
 
 def survey_feed(envelopes: DataFrame) -> DataFrame:
-    rows = frozen(raw_rows(envelopes), lowered_keys(F.col("raw")), schema.SURVEY_LANDING, ["date"])
+    rows = frozen(envelopes, schema.SURVEY_LANDING)
     return text.sanitise_rows(rows, text.quotes_dropped, schema.SURVEY_LANDING)
 
 
 def received_keys(envelopes: DataFrame) -> DataFrame:
     """One row per received key, lower-case."""
-    entries = _lowered(_entries(F.col("raw")))
-    return raw_rows(envelopes).select(F.explode(F.transform(entries, lambda e: e["key"])).alias("key"))
+    return _with_keys(raw_rows(envelopes), F.col("raw"), "_k", "_v").select(F.explode_outer("_k").alias("key")).where(
+        "key is not null")
