@@ -144,10 +144,13 @@ def new_rows(source: DataFrame, target: DataFrame, rows_per_task: int = 100_000)
         .where("_n > 0")
         .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / step))))
     )
+    parts = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     copies = F.least(step.cast("bigint"), F.col("_n") - F.col("_block") * step)
     return (
         missing.withColumn("_copies", copies)
-        .repartition(*columns, "_block")
+        # a fixed number: adaptive execution would merge these partitions, which are small only
+        # before their rows are repeated
+        .repartition(parts, *columns, "_block")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
         .select(*columns)
     )

@@ -15,10 +15,13 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None,
                like: T.StructType | None = None) -> DataFrame:
-    """A table, or an empty one with the schema ``like`` where it has not been written yet."""
-    if like is not None and not exists(spark, path):
-        return spark.createDataFrame([], like)
-    table = spark.read.parquet(path)
+    """A table; with the schema ``like`` it may also be empty or not written yet."""
+    if like is None:
+        table = spark.read.parquet(path)
+    elif exists(spark, path):
+        table = spark.read.schema(like).parquet(path)
+    else:
+        table = spark.createDataFrame([], like)
     return table.select(*[f"`{c}`" for c in columns]) if columns else table
 
 
