@@ -4,35 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_WHOLE = r"^\s*[+-]?[0-9]+\s*$"
+#: Texts that are normal already, which is nearly all of them: no more than this test is spent there.
+_CLOCK = "^[0-9]{2}:[0-5][0-9]:[0-5][0-9]$"
 
 
 def _padded(n: Column) -> Column:
     return F.when((n >= 0) & (n < 10), F.concat(F.lit("0"), n.cast("string"))).otherwise(n.cast("string"))
 
 
-def normalise_duration(c: Column) -> Column:
-    """``H:M:S`` with overflowing parts → ``HH:MM:SS``; anything else stays as it is."""
+def _sixties(c: Column, kind: str) -> Column:
+    """``H:M:S`` text as a number of seconds, NULL where it does not have three numbers."""
     parts = F.split(c, ":", -1)
-    fits = (F.size(parts) == 3) & F.forall(parts, lambda p: p.rlike(_WHOLE))
-    whole = [F.trim(F.get(parts, F.lit(i))).try_cast("bigint") for i in range(3)]
-    total = whole[0] * 3600 + whole[1] * 60 + whole[2]
-    rest = F.pmod(total, F.lit(3600))
-    # (total - rest) is a multiple of 3600, so the quotient is exact also below zero
-    text = F.concat_ws(
+    total = F.aggregate(
+        parts, F.lit(0).cast(kind),
+        lambda so_far, part: F.try_add(F.try_multiply(so_far, F.lit(60).cast(kind)), part.try_cast(kind)))
+    return F.when(F.size(parts) == 3, total)
+
+
+def _clock(seconds: Column) -> Column:
+    rest = F.pmod(seconds, F.lit(3600))
+    # seconds - rest is a multiple of 3600, so the quotient is exact also below zero
+    return F.concat_ws(
         ":",
-        _padded(((total - rest) / 3600).cast("bigint")),
+        _padded(((seconds - rest) / 3600).cast("bigint")),
         _padded(F.floor(rest / 60)),
         _padded(rest % 60),
     )
-    return F.when(fits & total.isNotNull(), text).otherwise(c)
+
+
+def normalise_duration(c: Column) -> Column:
+    """``H:M:S`` with overflowing parts → ``HH:MM:SS``; anything else stays as it is."""
+    # an array of the total, empty where there is none, so that it is computed once
+    total = F.array_compact(F.array(_sixties(c, "bigint")))
+    fixed = F.coalesce(F.get(F.transform(total, _clock), F.lit(0)), c)
+    return F.when(c.isNull() | c.rlike(_CLOCK), c).otherwise(fixed)
 
 
 def duration_seconds(c: Column) -> Column:
     """Time-of-day text ``HH:MM:SS[.f]`` → seconds as double; NULL stays NULL."""
-    parts = F.split(c, ":", -1)
-    value = [F.get(parts, F.lit(i)).try_cast("double") for i in range(3)]
-    return F.when(F.size(parts) == 3, value[0] * 3600 + value[1] * 60 + value[2])
+    return _sixties(c, "double")
 
 
 def nan_to_null(c: Column) -> Column:

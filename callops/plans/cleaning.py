@@ -26,7 +26,7 @@ def _upper(df: DataFrame, name: str) -> DataFrame:
 
 def clean_agents(df: DataFrame) -> DataFrame:
     """Agent feed: upper-case names, durations in seconds."""
-    seconds = {c: nm.duration_seconds(nm.normalise_duration(F.col(c))) for c in schema.AGENT_DURATIONS}
+    seconds = {c: nm.duration_seconds(F.col(c)) for c in schema.AGENT_DURATIONS}
     typed = df.withColumn("call_attended", F.col("call_attended").try_cast("bigint")).withColumns(seconds)
     return _upper(typed, "emp_name").select(*schema.AGENT_STAGING)
 

@@ -330,7 +330,7 @@ class Star:
             F.when(F.col("event_type") == "error", F.lit("[]"))
             .when(F.col("event_type") == "signup", F.lit("{}"))
             .otherwise(F.format_string(
-                '{"TEA": "00:%02d:00", "Lunch": "00:%02d:30", "Smoke": "x"}', F.minute("ts"), F.hour("ts"))))
+                '{"TEA": "0:%d:75", "Lunch": "00:%02d:30", "Smoke": "x"}', F.minute("ts"), F.hour("ts"))))
         body = F.format_string(
             '{"message": "%s agents, 1 row", "data": [{"agent_id": "%s", "Agent_Id": "no", '
             '"call_attended": %s, "tea": "own", "breaks": %s}]}',

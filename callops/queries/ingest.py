@@ -14,7 +14,8 @@ from callops.sources import envelope as env
 _AGENT = {
     "agent_id": "user_id::varchar", "call_attended": "floor(value)::bigint::varchar",
     "breaks": "CASE WHEN filled THEN '0' END",
-    "tea": "CASE WHEN filled THEN format('00:{:02d}:00', minute(ts)) ELSE 'own' END",
+    "tea": "CASE WHEN filled THEN format('{:02d}:{:02d}:15', (minute(ts) + 1) // 60, (minute(ts) + 1) % 60) "
+           "ELSE 'own' END",
     "lunch": "CASE WHEN filled THEN format('00:{:02d}:30', hour(ts)) END",
 }
 _CALL = {

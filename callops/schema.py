@@ -24,6 +24,11 @@ AGENT_LANDING = """
     precal total_idle_time
 """.split()
 
+AGENT_LANDING_DURATIONS = """
+    login_duration total_talk_time total_break total_wrap_time total_hold_time undefined bio lagged
+    login lunch manual meet qa tea traux tlbrf precal total_idle_time
+""".split()
+
 SURVEY_LANDING = "lead_id call_date phone_number user_id inbound_group ivr_flow user_full_name".split()
 
 STATUS = "table_name json_rows inserted_rows db_name timestamp".split()

@@ -40,6 +40,10 @@ def tune(spark: SparkSession) -> SparkSession:
     """
     if spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65535":
         spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    # joins whose smaller side turns out to fit in memory per partition need no sort of the wide side
+    threshold = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    if spark.conf.get(threshold) in ("0", "0b"):
+        spark.conf.set(threshold, "64m")
     return spark
 
 

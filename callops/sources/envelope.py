@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from callops import schema
 from callops.functions import text
+from callops.functions.numbers import normalise_duration
 
 ENVELOPE = "message string, data array<string>"
 
@@ -69,7 +70,8 @@ def agent_feed(envelopes: DataFrame) -> DataFrame:
     """Agent objects: keys must match exactly, but the keys of a filled ``breaks`` object are
     lowered and take precedence over the agent's own.
 
-    Without breaks the agent's own row is kept and ``breaks`` is NULL.
+    Without breaks the agent's own row is kept and ``breaks`` is NULL. Durations that overflow are
+    brought to ``HH:MM:SS``.
     """
     columns = schema.AGENT_LANDING
     own = ", ".join(f"{c} string" for c in columns)
@@ -81,7 +83,8 @@ def agent_feed(envelopes: DataFrame) -> DataFrame:
         return F.when(F.array_contains("_k", F.lit(c)), _value("_k", "_v", c)).otherwise(mine).alias(c)
 
     carried = [c for c in envelopes.columns if c not in ("message", "data")]
-    return rows.select(*carried, *[value(c) for c in columns])
+    merged = rows.select(*carried, *[value(c) for c in columns])
+    return merged.withColumns({c: normalise_duration(F.col(c)) for c in schema.AGENT_LANDING_DURATIONS})
 
 
 def call_feed(envelopes: DataFrame) -> DataFrame:
