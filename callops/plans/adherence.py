@@ -40,10 +40,11 @@ def adherence_report(roster: DataFrame, logins: DataFrame, agent_days: DataFrame
         "employeeid", F.col("employeename").alias("_name"), F.col("employeeid").alias("emp_deatail_id"),
         "sip", F.col("team_lead").alias("tl"), "manager", "sr__manager", "team_lead_name", "manager_name")
 
+    # roster rows without an id match nothing: kept out of the joins, where they would meet in one task
+    known = rostered.where("employeeid is not null").join(sessions, _WORK, "full").join(breaks, _WORK, "left")
+    unknown = rostered.where("employeeid is null")
     joined = lookup_join(
-        rostered.join(sessions, _WORK, "full").join(breaks, _WORK, "left"),
-        people, ["employeeid"], ["date"],
-    )
+        known.unionByName(unknown, allowMissingColumns=True), people, ["employeeid"], ["date", "employeename"])
     on_shift = F.coalesce(F.col("shift").rlike(SHIFT), F.lit(False))
 
     def part(group: int):

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from callops import schema
 from callops.operators.reshape import roster_days
 from callops.plans.adherence import adherence_load, adherence_report
 from callops.plans.people import with_leader_names
 from callops.plans.shrinkage import shrinkage_report
 from callops.plans.star import Star
 from callops.queries.registry import query
-from callops.queries.sql import column_list, exact, pct, with_views
+from callops.queries.sql import exact, pct, with_views
 
 
 @query(with_views("""

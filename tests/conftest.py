@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = build_session("tests", "local[4]", **{
+    session = build_session("tests", "local[8]", **{
         "spark.sql.shuffle.partitions": "4",
         "spark.default.parallelism": "4",
         "spark.driver.memory": "6g",

@@ -10,7 +10,6 @@ from callops import schema
 from callops.operators.windows import quartile_category
 from callops.plans import adherence, calls, csat, flows, interval, people, productivity, quality, shrinkage
 from callops.plans.star import RULES, Star
-from callops.sinks import writers
 from callops.sources import tables
 from callops.streaming.landing import land_stream
 
@@ -52,7 +51,7 @@ def layers(spark, tmp_path_factory):
         "agent_roster": star.roster().withColumns(text_date),
         "login_logout": star.logins().withColumns(text_date),
         "emp_details": star.employees(),
-        "attrition_tracker": star.attrition(),
+        "attrition_tracker": star.attrition().where(SPAN + " or date = 'not yet'"),
     }
     none = F.lit(None).cast("string")
     training = star.training().withColumns({c: none for c in schema.TRAINING if c not in star.training().columns})
