@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from callops import schema
 from callops.functions.numbers import flag, percent
 from callops.functions.text import blank_to_null, rating_number
-from callops.operators.skew import lookup_join, salted_lookup_join
+from callops.operators.skew import salted_lookup_join
 from callops.operators.windows import repeat_contacts
 
 
@@ -62,17 +62,22 @@ def call_report(calls: DataFrame, surveys: DataFrame, quality: DataFrame,
     A call is resolved at first contact (``ftr``) when it was answered and no other call of the
     customer fell into the seven days up to it.
     """
-    flagged = repeat_contacts(with_flags(calls, rules), "lead_id")
-    answers = surveys.where("lead_id is not null").groupBy("lead_id").agg(
-        F.max("survey_rating").alias("survey_feedback"))
-    audits = quality.where("agent_id is not null and customer_number is not null").groupBy(
+    def counts(*keys: str) -> DataFrame:
+        # from the calls themselves: counting after a join would run the join twice
+        return keyed.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+
+    keyed = calls.withColumn("_lead", blank_to_null(F.col("lead_id")))
+    answers = surveys.withColumn("_lead", blank_to_null(F.col("lead_id"))).where("_lead is not null").groupBy(
+        "_lead").agg(F.max("survey_rating").alias("survey_feedback"))
+    audits = quality.dropna(subset=["agent_id", "customer_number"]).groupBy(
         F.col("agent_id").alias("user"), "customer_number",
     ).agg(F.round(F.avg("overall_score"), 2).alias("quality_score"))
+
+    row = ["call_date", "lead_id", "customer_number", "user"]
+    flagged = repeat_contacts(with_flags(keyed, rules), row)
+    answered = salted_lookup_join(flagged, answers, ["_lead"], row, counts("_lead"))
     scored = salted_lookup_join(
-        lookup_join(flagged, answers, ["lead_id"], ["call_date", "customer_number"]),
-        audits, ["user", "customer_number"], ["lead_id"],
-        key_counts=calls.dropna(subset=["user", "customer_number"]).groupBy("user", "customer_number").agg(
-            F.count(F.lit(1)).alias("_rows")))
+        answered, audits, ["user", "customer_number"], row, counts("user", "customer_number"))
     return scored.withColumns({
         "ftr": flag((F.col("ans") == 1) & (F.col("repeat_7days") == 0)),
         "csat": flag(rating_number(F.col("survey_feedback")) >= 4),

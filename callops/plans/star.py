@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callops import schema
 from callops.operators.reshape import forecast_wide
+from callops.operators.skew import salted_lookup_join
 from callops.plans.calls import CallRules
 
 #: Event types as call outcomes.
@@ -109,14 +110,19 @@ class Star:
             F.col("o_orderkey").alias("contact_id"), F.col("o_custkey").alias("customer_number"),
             F.to_date("o_orderdate").alias("date"))
 
+    def orders_by_customer(self) -> DataFrame:
+        """Orders with their customer's nation and segment; one customer may hold most orders."""
+        customers = self.table("customer").select(
+            F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment", F.lit(True).alias("_known"))
+        joined = salted_lookup_join(self.table("orders"), customers, ["o_custkey"], ["o_orderkey"])
+        return joined.where("_known").drop("_known")
+
     def csat_scores(self) -> DataFrame:
         """Score file: the customer's market segment acts as the agent."""
         rating = F.when(F.col("o_orderstatus") == "P", "NoResponse").otherwise(F.substring("o_orderpriority", 1, 1))
         nation = F.col("c_nationkey").cast("string")
         return (
-            self.table("orders")
-            .join(self.table("customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
-                  F.col("o_custkey") == F.col("c_custkey"))
+            self.orders_by_customer()
             .select(
                 F.to_date("o_orderdate").alias("date"),
                 nation.alias("user_id"),
@@ -136,9 +142,7 @@ class Star:
         """Resolution file of the same agents."""
         status = F.col("o_orderstatus")
         return (
-            self.table("orders")
-            .join(self.table("customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
-                  F.col("o_custkey") == F.col("c_custkey"))
+            self.orders_by_customer()
             .select(
                 F.to_date("o_orderdate").alias("date"),
                 F.lower("c_mktsegment").alias("full_name"),
@@ -265,8 +269,7 @@ class Star:
         left_on = F.when(F.col("o_orderstatus") == "P", "not yet").otherwise(
             F.date_format("o_orderdate", "yyyy-MM-dd"))
         return (
-            self.table("orders")
-            .join(self.table("customer").select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
+            self.orders_by_customer()
             .select(
                 customer.alias("employeeid"), F.concat(F.lit("employee "), customer).alias("employeename"),
                 F.lit("supervisor").alias("supervisor"), none.alias("attrited_from_"), left_on.alias("date"),

@@ -65,7 +65,7 @@ def abandon_sl_by_day(star: Star):
                RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) - 1 AS repeat_7days
     FROM orders""")
 def repeat_contacts(star: Star):
-    return windows.repeat_contacts(star.contacts(), "contact_id")
+    return windows.repeat_contacts(star.contacts(), ["contact_id"])
 
 
 @query("""

@@ -21,6 +21,7 @@ def build_session(app: str = "callops", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",  # no call-site lookup per column
         **conf,
     }
     builder = SparkSession.builder.appName(app)

@@ -15,7 +15,7 @@ def day(n):
 def test_repeat_windows_by_hand(spark):
     calls = spark.createDataFrame([(i, "c", day(n)) for i, n in enumerate([1, 1, 3, 8, 15])],
                                   "id int, customer_number string, date date")
-    out = [tuple(r)[3:] for r in windows.repeat_contacts(calls, "id").orderBy("id").collect()]
+    out = [tuple(r)[3:] for r in windows.repeat_contacts(calls, ["id"]).orderBy("id").collect()]
     assert out == [(1, 1, 1), (1, 1, 1), (0, 2, 2), (0, 0, 1), (0, 0, 0)]
 
 
@@ -40,7 +40,7 @@ def brute_repeats(data):
 
 def test_repeat_contacts_against_brute_force(spark):
     data, calls = skewed_calls(spark)
-    assert rows(windows.repeat_contacts(calls, "id")) == brute_repeats(data)
+    assert rows(windows.repeat_contacts(calls, ["id"])) == brute_repeats(data)
 
 
 def test_salted_join_equals_plain_join(spark, monkeypatch):
@@ -81,7 +81,7 @@ def test_repeats_stay_right_when_salted(spark, monkeypatch):
         return salted(*args, **kwargs, hot_share=20, hot_rows=1)
 
     monkeypatch.setattr(windows, "salted_lookup_join", always)
-    assert rows(windows.repeat_contacts(calls, "id")) == brute_repeats(data)
+    assert rows(windows.repeat_contacts(calls, ["id"])) == brute_repeats(data)
 
 
 def test_latest_scores_against_merge_asof(spark):
