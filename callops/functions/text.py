@@ -9,11 +9,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 # Fixed value: every character that counts as white space when ids are trimmed (tabs, line breaks,
 # separators and no-break spaces included), as a regular-expression class body.
 _SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# The same characters as text, for trimming without a regular expression.
+_SPACES = "".join(chr(n) for n in (
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F,
+    0x3000))
 
 
 def strip(c: Column) -> Column:
     """Drop white space of every kind at both ends."""
-    return F.regexp_replace(c, rf"^[{_SPACE}]+|[{_SPACE}]+$", "")
+    return F.btrim(c, F.lit(_SPACES))
 
 
 def upper_name(c: Column) -> Column:
@@ -23,7 +27,7 @@ def upper_name(c: Column) -> Column:
 
 def drop_nbsp(c: Column) -> Column:
     r"""Upper-case and drop no-break spaces, real ones and those left as the text ``\XA0``."""
-    return F.regexp_replace(F.upper(c), r"\\XA0|\x{A0}", "")
+    return F.replace(F.replace(F.upper(c), F.lit("\\XA0"), F.lit("")), F.lit("\u00a0"), F.lit(""))
 
 
 def ascii_only(c: Column) -> Column:
