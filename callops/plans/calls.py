@@ -55,33 +55,42 @@ def with_flags(calls: DataFrame, rules: CallRules) -> DataFrame:
     }).withColumn("sl", flag((F.col("ans") == 1) & (F.col("queue_seconds") <= rules.answer_within)))
 
 
-def call_report(calls: DataFrame, surveys: DataFrame, quality: DataFrame,
-                rules: CallRules = CallRules()) -> DataFrame:
-    """One row per call with flags, survey answer, quality score and repeat counts.
+#: Columns that tell calls apart; they decide how the calls of a hot key are split.
+_ROW = ["call_date", "lead_id", "customer_number", "user"]
+
+
+def _rows_per(calls: DataFrame, *keys: str) -> DataFrame:
+    # from the calls themselves: counting after a join would run the join twice
+    return calls.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def call_outcomes(calls: DataFrame, surveys: DataFrame, rules: CallRules = CallRules()) -> DataFrame:
+    """Calls with flags, repeat counts and survey answer.
 
     A call is resolved at first contact (``ftr``) when it was answered and no other call of the
     customer fell into the seven days up to it.
     """
-    def counts(*keys: str) -> DataFrame:
-        # from the calls themselves: counting after a join would run the join twice
-        return keyed.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    lead = blank_to_null(F.col("lead_id"))
+    keyed = calls.withColumn("_lead", lead)
+    answers = surveys.withColumn("_lead", lead).where("_lead is not null").groupBy("_lead").agg(
+        F.max("survey_rating").alias("survey_feedback"))
+    flagged = repeat_contacts(with_flags(keyed, rules), _ROW)
+    answered = salted_lookup_join(flagged, answers, ["_lead"], _ROW, _rows_per(keyed, "_lead"))
+    return answered.drop("_lead").withColumns({
+        "ftr": flag((F.col("ans") == 1) & (F.col("repeat_7days") == 0)),
+        "csat": flag(rating_number(F.col("survey_feedback")) >= 4),
+    })
+
 
-    keyed = calls.withColumn("_lead", blank_to_null(F.col("lead_id")))
-    answers = surveys.withColumn("_lead", blank_to_null(F.col("lead_id"))).where("_lead is not null").groupBy(
-        "_lead").agg(F.max("survey_rating").alias("survey_feedback"))
+def call_report(calls: DataFrame, surveys: DataFrame, quality: DataFrame,
+                rules: CallRules = CallRules()) -> DataFrame:
+    """Call outcomes with the mean audit score of the call's agent and customer."""
     audits = quality.dropna(subset=["agent_id", "customer_number"]).groupBy(
         F.col("agent_id").alias("user"), "customer_number",
     ).agg(F.round(F.avg("overall_score"), 2).alias("quality_score"))
-
-    row = ["call_date", "lead_id", "customer_number", "user"]
-    flagged = repeat_contacts(with_flags(keyed, rules), row)
-    answered = salted_lookup_join(flagged, answers, ["_lead"], row, counts("_lead"))
-    scored = salted_lookup_join(
-        answered, audits, ["user", "customer_number"], row, counts("user", "customer_number"))
-    return scored.withColumns({
-        "ftr": flag((F.col("ans") == 1) & (F.col("repeat_7days") == 0)),
-        "csat": flag(rating_number(F.col("survey_feedback")) >= 4),
-    }).select(*schema.CALL_REPORT)
+    pair = ["user", "customer_number"]
+    outcomes = call_outcomes(calls, surveys, rules)
+    return salted_lookup_join(outcomes, audits, pair, _ROW, _rows_per(calls, *pair)).select(*schema.CALL_REPORT)
 
 
 def day_report(calls: DataFrame, rules: CallRules = CallRules()) -> DataFrame:

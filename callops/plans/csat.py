@@ -25,11 +25,11 @@ def _rating_counts(rating: Column, weight: Column | None = None) -> dict[str, Co
     }
 
 
-def csat_agent_daily(call_report: DataFrame) -> DataFrame:
-    """Resolution, survey transfers and ratings per agent and day, from the call report."""
+def csat_agent_daily(outcomes: DataFrame) -> DataFrame:
+    """Resolution, survey transfers and ratings per agent and day, from the call outcomes."""
     counts = _rating_counts(rating_number(F.col("survey_feedback")))
     counts["great_service"] = counts.pop("great")
-    return call_report.groupBy("date", "user").agg(
+    return outcomes.groupBy("date", "user").agg(
         F.max("full_name").alias("full_name"),
         F.sum("ftr").alias("ftr"),
         F.count(F.lit(1)).alias("total_calls"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from callops import schema
 from callops.plans import csat as plan
-from callops.plans.calls import call_report
+from callops.plans.calls import call_outcomes
 from callops.plans.cleaning import clean_surveys
 from callops.plans.star import RULES, Star
 from callops.queries.registry import query
@@ -18,8 +18,7 @@ def csat_rating_extract(star: Star):
 
 @query(with_views(f"SELECT {column_list(schema.CSAT_AGENT_REPORT)} FROM csat_daily", "csat_daily"))
 def csat_agent_daily(star: Star):
-    calls = call_report(star.calls(), clean_surveys(star.surveys_raw()), star.quality(), RULES)
-    return plan.csat_agent_daily(calls)
+    return plan.csat_agent_daily(call_outcomes(star.calls(), clean_surveys(star.surveys_raw()), RULES))
 
 
 @query(f"""

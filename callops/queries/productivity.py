@@ -5,7 +5,7 @@ from __future__ import annotations
 from callops import schema
 from callops.operators.windows import quartile_category
 from callops.plans import productivity as plan
-from callops.plans.calls import call_report
+from callops.plans.calls import call_outcomes
 from callops.plans.cleaning import clean_surveys
 from callops.plans.csat import csat_agent_daily
 from callops.plans.people import with_leader_names, with_people
@@ -42,7 +42,7 @@ def abcd_category(star: Star):
 
 def product_csat_plan(star: Star):
     product = plan.product_report(star.agent_days(), star.calls())
-    calls = call_report(star.calls(), clean_surveys(star.surveys_raw()), star.quality(), RULES)
+    calls = call_outcomes(star.calls(), clean_surveys(star.surveys_raw()), RULES)
     categories = quartile_category(plan.month_occupancy(product), ["month"], "score")
     return plan.product_csat_report(product, csat_agent_daily(calls), categories)
 
