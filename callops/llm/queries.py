@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from callops.llm import bpe, exact, langid, mixing, simhash
+from callops.llm import bpe, exact, langid, mixing, secret_scan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +100,8 @@ def op5_language_id(docs: DataFrame) -> DataFrame:
 @query("documents")
 def op8_simhash(docs: DataFrame) -> DataFrame:
     return simhash.report(docs, SIMHASH_WORDS, SIMHASH_BITS)
+
+
+@query("documents")
+def op10_secrets(docs: DataFrame) -> DataFrame:
+    return secret_scan.scan(docs)
