@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from callops.llm.common import WORD, text_of, written
 
 #: Rows of a range of the shuffled order, and copies between two steps of finish time.
-RANGE_ROWS = 100_000
+RANGE_ROWS = 20_000
 
 
 def words(text: str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from callops.llm import bpe, exact, langid, mixing, secret_scan, simhash
+from callops.llm import bpe, exact, langid, mixing, secret_scan, simhash, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,3 +105,61 @@ def op8_simhash(docs: DataFrame) -> DataFrame:
 @query("documents")
 def op10_secrets(docs: DataFrame) -> DataFrame:
     return secret_scan.scan(docs)
+
+
+#: Fixed values of the contract: host, path, verdict.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+@query("pages", r"""
+with recursive told as (
+    select page_id, coalesce(html, '') as html,
+           translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 1, 's'),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+           regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 2, 's') as path
+    from pages
+), rules(domain, under, what) as (
+    values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+           ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), ruled as (
+    select t.*, r.domain || r.under as rule, r.what from told t left join rules r
+    on (t.host = r.domain or ends_with(t.host, '.' || r.domain)) and starts_with(t.path, r.under)
+    qualify row_number() over (partition by t.page_id order by length(r.domain || r.under) desc nulls last, length(r.domain) desc) = 1
+), counted as (
+    select host, target, count(*)::double as links from (
+        select host, translate(unnest(regexp_extract_all(html,
+            '(?i)<a\s[^>]*?href\s*=\s*["'']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"''\s>]+)', 1)),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as target
+        from told) where host <> '' and host <> target group by host, target
+), both_ways as (
+    select 'trust' as kind, host, target, links from counted
+    union all select 'distrust', target, host, links from counted
+), steps as (
+    select kind, host, target, links / sum(links) over (partition by kind, host) as share from both_ways
+), hosts as (
+    select host, count(*) as pages, count(case when what = 'allow' then 1 end)::double as trust,
+           count(case when what = 'block' then 1 end)::double as distrust from ruled group by host
+), waves(round, kind, host, score) as (
+    select 0, kind, host, score from (
+        select 'trust' as kind, host, trust as score from hosts union all select 'distrust', host, distrust from hosts)
+    where host <> '' and score > 0
+    union all
+    select w.round + 1, s.kind, s.target, 0.85 * sum(w.score * s.share)
+    from waves w join steps s on s.kind = w.kind and s.host = w.host where w.round < 12 group by w.round, s.kind, s.target
+), blocked as (
+    select h.host from hosts h join waves w on w.host = h.host group by h.host, h.pages
+    having sum(case when kind = 'distrust' then score else -score end) > 0.5 * h.pages
+)
+select page_id, host, path, rule,
+       coalesce(what, case when host in (select host from blocked) then 'block' else 'allow' end) as verdict
+from ruled
+""")
+def op2_url_filters(pages: DataFrame) -> DataFrame:
+    return urls.judge(pages, URL_RULES)
+
+
+@query("pages")
+def op7_warc(pages: DataFrame) -> DataFrame:
+    manifest, _ = warc.write(pages)
+    return warc.read(manifest)
