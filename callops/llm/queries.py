@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from callops.llm import bpe, exact, langid, mixing, secret_scan, simhash, urls, warc
+from callops.llm import bpe, embeddings, exact, langid, mixing, secret_scan, simhash, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -163,3 +163,25 @@ def op2_url_filters(pages: DataFrame) -> DataFrame:
 def op7_warc(pages: DataFrame) -> DataFrame:
     manifest, _ = warc.write(pages)
     return warc.read(manifest)
+
+
+@query("embeddings", r"""
+with recursive unit as (
+    select vec_id, label, embedding::double[] as v from embeddings
+    where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+          and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as (
+    select a.vec_id as a, b.vec_id as b from unit a join unit b
+    on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.98
+), reach(start, vec_id) as (
+    select vec_id, vec_id from embeddings union select r.start, l.b from reach r join links l on l.a = r.vec_id
+), component as (
+    select start as vec_id, min(vec_id) as component_id from reach group by start
+), counted as (
+    select a as vec_id, count(*) as n_links from links group by a
+)
+select e.vec_id, coalesce(n.n_links, 0)::bigint as n_links, c.component_id, e.vec_id = c.component_id as kept
+from embeddings e join component c on c.vec_id = e.vec_id left join counted n on n.vec_id = e.vec_id
+""")
+def op6_embedding_dedup(vectors: DataFrame) -> DataFrame:
+    return embeddings.near_groups(vectors, 0.98)
