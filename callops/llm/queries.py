@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from callops.llm import bpe, embeddings, exact, langid, mixing, secret_scan, simhash, urls, warc
+from callops.llm import bpe, embeddings, exact, langid, mixing, quality, secret_scan, simhash, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -185,3 +185,8 @@ from embeddings e join component c on c.vec_id = e.vec_id left join counted n on
 """)
 def op6_embedding_dedup(vectors: DataFrame) -> DataFrame:
     return embeddings.near_groups(vectors, 0.98)
+
+
+@query("documents")
+def op9_quality(docs: DataFrame) -> DataFrame:
+    return quality.classify(docs)
