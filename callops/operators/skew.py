@@ -1,65 +1,29 @@
-"""Lookup joins that stay balanced when one key, or a missing key, holds a large share of the rows."""
+"""Lookup joins that stay balanced when one key, or a missing key, holds a large share of the rows.
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, functions as F
-
-#: A key is hot when it holds more than 1/HOT_SHARE of all rows. Fewer than HOT_SHARE keys can be
-#: hot whatever the data size, so the list of hot keys is always small enough to collect and
-#: broadcast.
-HOT_SHARE = 1000
+The join is a plain equi-join whose facts side adaptive execution may split: a partition that one key
+fills is read by as many tasks as its size in bytes asks for (``advisoryPartitionSizeInBytes``), each
+with that key's lookup row. Part sizes are absolute, the number of parts has no limit, nothing is
+counted, collected or broadcast, and no job runs while a query is built.
 
-#: Keys with fewer rows than this fit one task and are never split.
-HOT_ROWS = 1_000_000
-
-
-def _hot_keys(key_counts: DataFrame, keys: list[str], share: int, rows: int) -> DataFrame | None:
-    total = key_counts.agg(F.sum("_rows")).scalar()
-    hot = key_counts.where((F.col("_rows") >= rows) & (F.col("_rows") * share > total)).select(
-        *keys, F.ceil(F.col("_rows") * share / total).cast("int").alias("_parts"))
-    found = hot.collect()  # fewer than ``share`` rows, see HOT_SHARE
-    return key_counts.sparkSession.createDataFrame(found, hot.schema) if found else None
+Rows with a missing key match nothing. A hash of the row stands for their key in the shuffle, so they
+are dealt over all tasks and never meet.
+"""
 
+from __future__ import annotations
 
-def _join(facts: DataFrame, lookup: DataFrame, keys: list[str], spread_by: list[str],
-          hot: DataFrame | None, share: int) -> DataFrame:
-    no_key = F.lit(False)
-    for key in keys:
-        no_key = no_key | F.col(key).isNull()
-    if hot is None:
-        parts, one_part = F.lit(1), F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
-        repeated = lookup.withColumn("_part", one_part)  # always 0, and no constant to fold away
-    else:
-        facts = facts.join(F.broadcast(hot), keys, "left")
-        parts = F.coalesce("_parts", F.lit(1))
-        last = F.coalesce("_parts", F.lit(1)) - 1
-        repeated = (lookup.join(F.broadcast(hot), keys, "left")
-                    .withColumn("_part", F.explode(F.sequence(F.lit(0), last))).drop("_parts"))
-    spread = F.when(no_key, F.lit(share)).otherwise(parts)
-    salted = facts.withColumn("_part", F.pmod(F.xxhash64(*spread_by), spread).cast("int")).drop("_parts")
-    return salted.join(repeated, [*keys, "_part"], "left").drop("_part")
+from pyspark.sql import DataFrame, functions as F
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], spread_by: list[str]) -> DataFrame:
-    """Left join to a lookup with one row per key, for facts whose rows per key are bounded.
-
-    Facts with a NULL key match nothing; they are spread by a hash of ``spread_by`` instead of
-    meeting in one task.
-    """
-    return _join(facts, lookup, keys, spread_by, None, HOT_SHARE)
-
-
-def salted_lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], spread_by: list[str],
-                       key_counts: DataFrame | None = None, hot_share: int = HOT_SHARE,
-                       hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The same for facts with any number of rows per key.
-
-    One counting job over the key columns finds the hot keys. Their facts are split by a hash of
-    ``spread_by`` into ``rows * hot_share / total`` parts and their lookup row is repeated once per
-    part, so the lookup grows by fewer than ``2 * hot_share`` rows. With no hot key this is a plain
-    join. ``key_counts`` (keys + ``_rows``) saves counting facts that are costly to compute.
-    """
-    if key_counts is None:
-        known = facts.select(*keys).dropna(subset=keys)
-        key_counts = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return _join(facts, lookup, keys, spread_by, _hot_keys(key_counts, keys, hot_share, hot_rows), hot_share)
+    """Left join to a lookup with at most one row per key; ``spread_by`` tells facts apart."""
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    # always null, but not for the optimizer: a constant would be taken out of the join's keys
+    none = F.nullif(F.pmod(F.xxhash64(*keys), F.lit(1)), F.lit(0))
+    facts = facts.withColumn("_alone", F.when(missing, F.xxhash64(*spread_by)))
+    other = lookup.select("*", none.alias("_none")).withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
+    condition = F.col("_alone").eqNullSafe(F.col("_none"))
+    for i, key in enumerate(keys):
+        condition = condition & (F.col(key) == F.col(f"_k{i}"))
+    return facts.join(other, condition, "left").drop("_alone", "_none", *[f"_k{i}" for i in range(len(keys))])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from callops import schema
 from callops.functions.numbers import flag, percent
 from callops.functions.text import blank_to_null, rating_number
-from callops.operators.skew import salted_lookup_join
+from callops.operators.skew import lookup_join
 from callops.operators.windows import repeat_contacts
 
 
@@ -55,15 +55,10 @@ def with_flags(calls: DataFrame, rules: CallRules) -> DataFrame:
     }).withColumn("sl", flag((F.col("ans") == 1) & (F.col("queue_seconds") <= rules.answer_within)))
 
 
-#: Columns that tell calls apart; they decide how the calls of a hot key are split.
+#: Columns that tell calls apart; they decide how calls without a key are spread.
 _ROW = ["call_date", "lead_id", "customer_number", "user"]
 
 
-def _rows_per(calls: DataFrame, *keys: str) -> DataFrame:
-    # from the calls themselves: counting after a join would run the join twice
-    return calls.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-
-
 def call_outcomes(calls: DataFrame, surveys: DataFrame, rules: CallRules = CallRules()) -> DataFrame:
     """Calls with flags, repeat counts and survey answer.
 
@@ -75,7 +70,7 @@ def call_outcomes(calls: DataFrame, surveys: DataFrame, rules: CallRules = CallR
     answers = surveys.withColumn("_lead", lead).where("_lead is not null").groupBy("_lead").agg(
         F.max("survey_rating").alias("survey_feedback"))
     flagged = repeat_contacts(with_flags(keyed, rules), _ROW)
-    answered = salted_lookup_join(flagged, answers, ["_lead"], _ROW, _rows_per(keyed, "_lead"))
+    answered = lookup_join(flagged, answers, ["_lead"], _ROW)
     return answered.drop("_lead").withColumns({
         "ftr": flag((F.col("ans") == 1) & (F.col("repeat_7days") == 0)),
         "csat": flag(rating_number(F.col("survey_feedback")) >= 4),
@@ -88,9 +83,8 @@ def call_report(calls: DataFrame, surveys: DataFrame, quality: DataFrame,
     audits = quality.dropna(subset=["agent_id", "customer_number"]).groupBy(
         F.col("agent_id").alias("user"), "customer_number",
     ).agg(F.round(F.avg("overall_score"), 2).alias("quality_score"))
-    pair = ["user", "customer_number"]
     outcomes = call_outcomes(calls, surveys, rules)
-    return salted_lookup_join(outcomes, audits, pair, _ROW, _rows_per(calls, *pair)).select(*schema.CALL_REPORT)
+    return lookup_join(outcomes, audits, ["user", "customer_number"], _ROW).select(*schema.CALL_REPORT)
 
 
 def day_report(calls: DataFrame, rules: CallRules = CallRules()) -> DataFrame:

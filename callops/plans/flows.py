@@ -34,7 +34,7 @@ class Run:
     first_day: str | None = None
     last_day: str | None = None
     rules: calls.CallRules = calls.CallRules()
-    lob: str = "FHPL"
+    lob: str = ""
 
     def path(self, layer: str, table: str) -> str:
         return tables.layer_path(self.root, layer, table)
@@ -81,8 +81,8 @@ FEED_PREFIXES = {"agent_info_ldb": "agent", "daily_exportcall_ldb": "export", "c
 def land_feed(run: Run, table: str, envelopes: DataFrame, at: str) -> None:
     """Replace the dates the envelopes are for, and record declared against stored rows."""
     path = run.path("landing", table)
-    writers.replace_dates(FEEDS[table](envelopes), path)
     declared = envelope.declared_rows(envelopes)
+    writers.replace_dates(FEEDS[table](envelopes), path, cover=declared.select("date").distinct())
     stored = tables.read_dates(run.spark, path, declared)
     audit = checks.audit_rows(stored, declared, table, "landing_db", at)
     writers.append_audit(audit, run.path("landing", "status_ldb"))
@@ -117,7 +117,8 @@ def _stage_new_rows(run: Run, table: str, target: str, clean: Callable, rules: d
     rows = clean(run.valid(table, run.landing(table), rules) if rules else run.landing(table))
     path = run.path("staging", target)
     present = tables.read_table(run.spark, path, like=rows.schema).select(*rows.columns)
-    writers.append_rows(gates.new_rows(rows, present), path, partition)
+    date = partition if partition in rows.columns else None
+    writers.append_rows(gates.new_rows(rows, present, date=date), path, partition)
 
 
 def _stage_months(run: Run, table: str, target: str, clean: Callable) -> None:
@@ -148,7 +149,7 @@ def stage_forecast(run: Run) -> None:
     """No gate: the report days are replaced each time."""
     rows = cleaning.clean_forecast(run.landing("forecast"))
     chosen = rows.join(run.days(), "date", "left_semi")
-    writers.replace_dates(chosen, run.path("staging", "forecast_sdb"))
+    writers.replace_dates(chosen, run.path("staging", "forecast_sdb"), cover=run.days())
 
 
 def stage_csat_scores(run: Run) -> None:
@@ -198,9 +199,11 @@ def stage_employees(run: Run) -> None:
 
 
 def stage_employee_slice(run: Run) -> None:
-    """One line of business, short column list, appended."""
+    """One line of business, short column list; what the table does not hold yet is appended."""
     rows = cleaning.clean_employees(run.landing("emp_details").where(F.col("lob") == run.lob), schema.EMPLOYEES_SHORT)
-    writers.append_rows(rows, run.path("staging", "emp_details_lob_sdb"), partition=None)
+    path = run.path("staging", "emp_details_lob_sdb")
+    present = tables.read_table(run.spark, path, like=rows.schema).select(*rows.columns)
+    writers.append_rows(gates.new_rows(rows, present), path, partition=None)
 
 
 def stage_attrition(run: Run) -> None:
@@ -242,35 +245,48 @@ def _product(run: Run, days: DataFrame) -> DataFrame:
         _on(run.staging("agent_info_sdb"), days), _on(run.staging("exportcall_sdb"), days))
 
 
+def _with_days_after(days: DataFrame, on: int) -> DataFrame:
+    """The days and the ``on`` days after each of them."""
+    span = F.sequence(F.col("date"), F.date_add("date", on), F.expr("interval 1 day"))
+    return days.select(F.explode(span).alias("date")).distinct()
+
+
 def _calls(run: Run, days: DataFrame) -> DataFrame:
     """Call report of the days; repeats look back into the six days before."""
     window = _on(run.staging("exportcall_sdb"), _with_days_before(days, 6))
-    # a survey answer never comes before its call
-    answers = run.staging("csat_info_sdb").where(F.col("date") >= days.agg(F.min("date")).scalar())
-    return _on(calls.call_report(window, answers, run.staging("quality_sdb"), run.rules), days)
+    return _on(calls.call_report(window, run.staging("csat_info_sdb"), run.staging("quality_sdb"), run.rules), days)
+
+
+def _outcomes(run: Run, days: DataFrame) -> DataFrame:
+    """The same without audit scores, which survey reports do not read."""
+    window = _on(run.staging("exportcall_sdb"), _with_days_before(days, 6))
+    return _on(calls.call_outcomes(window, run.staging("csat_info_sdb"), run.rules), days)
 
 
 def report_product(run: Run) -> None:
     days = run.days()
     report = productivity.cumulative_scores(_product(run, _months_of(days)))
-    writers.replace_dates(_on(report, days), run.path("reporting", "product_rdb"))
+    writers.replace_dates(_on(report, days), run.path("reporting", "product_rdb"), cover=days)
 
 
 def report_calls(run: Run) -> None:
     path = run.path("reporting", "exportcall_rdb")
     decided = run.decide("exportcall_rdb", gates.count_parity, run.staging("exportcall_sdb"), path)
-    days = decided.where("action = 'reload'").select("date")
-    writers.replace_dates(_calls(run, days), path)
+    changed = decided.where("action in ('reload', 'purge')").select("date")
+    # repeat counts of the six days after a changed day depend on it
+    days = _with_days_after(changed, 6)
+    writers.replace_dates(_calls(run, days), path, cover=days)
 
 
 def report_csat_agents(run: Run) -> None:
-    report = csat.csat_agent_daily(_calls(run, run.days()))
-    writers.replace_dates(report, run.path("reporting", "csat_agent_daily"))
+    days = run.days()
+    report = csat.csat_agent_daily(_outcomes(run, days))
+    writers.replace_dates(report, run.path("reporting", "csat_agent_daily"), cover=days)
 
 
 def report_employees(run: Run) -> None:
     rows = _employees(run).select(*schema.EMPLOYEE_REPORT)
-    writers.write_snapshot(rows, run.path("reporting", "fhpl_emp_details_rdb"), run.as_of)
+    writers.write_snapshot(rows, run.path("reporting", "emp_details_rdb"), run.as_of)
 
 
 def report_product_csat(run: Run) -> None:
@@ -278,9 +294,9 @@ def report_product_csat(run: Run) -> None:
     days = run.days()
     product = _product(run, _months_of(days))
     letters = quartile_category(productivity.month_occupancy(product), ["month"], "score")
-    joined = productivity.product_csat_report(product, csat.csat_agent_daily(_calls(run, days)), letters)
+    joined = productivity.product_csat_report(product, csat.csat_agent_daily(_outcomes(run, days)), letters)
     report = people.with_people(_on(joined, days), _employees(run), run.as_of)
-    writers.replace_dates(report, run.path("reporting", "product_csat_rdb"))
+    writers.replace_dates(report, run.path("reporting", "product_csat_rdb"), cover=days)
 
 
 def report_shrinkage(run: Run) -> None:
@@ -290,7 +306,7 @@ def report_shrinkage(run: Run) -> None:
     next_days = days.select(F.date_add("date", 1).alias("date"))
     logins = _on(run.staging("login_logout_sdb"), days.union(next_days).distinct())
     report = shrinkage.shrinkage_report(_on(run.staging("agent_roster_sdb"), weeks), logins)
-    writers.replace_dates(_on(report, days), run.path("reporting", "shrinkage_rdb"))
+    writers.replace_dates(_on(report, days), run.path("reporting", "shrinkage_rdb"), cover=days)
 
 
 def report_intervals(run: Run) -> None:
@@ -298,7 +314,7 @@ def report_intervals(run: Run) -> None:
     window = _on(run.staging("exportcall_sdb"), _with_days_before(days, 6))
     report = interval.interval_report(
         window, _on(run.staging("forecast_sdb"), days), _on(run.staging("agent_roster_sdb"), _weeks_of(days)), run.rules)
-    writers.replace_dates(_on(report, days), run.path("reporting", "interval_wise_rdb"))
+    writers.replace_dates(_on(report, days), run.path("reporting", "interval_wise_rdb"), cover=days)
 
 
 def report_csat_scores(run: Run) -> None:

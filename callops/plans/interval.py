@@ -31,14 +31,14 @@ def interval_core(calls: DataFrame, rules: CallRules = CallRules()) -> DataFrame
 def interval_repeats(calls: DataFrame, rules: CallRules = CallRules()) -> DataFrame:
     """Repeat calls per interval.
 
-    Calls are counted per customer, date and interval first; the repeat windows and the join then
+    Calls are counted per customer, date and interval first; the repeat windows then
     see one row per such cell, however many calls one customer makes.
     """
     placed = with_flags(calls, rules).select("customer_number", *_CELL)
     cells = customer_day_counts(placed, "customer_number", "date", ["extracted_interval"])
-    daily = cells.groupBy("customer_number", "date").agg(F.sum("_rows").alias("_rows"))
-    repeats = trailing_day_counts(daily, "customer_number", "date")
-    return cells.join(repeats, ["customer_number", "date"]).groupBy(*_CELL).agg(
+    # cells of one date are peers in the window, so its sums are those of whole days
+    counted = trailing_day_counts(cells, "customer_number", "date", keep=["extracted_interval", "_rows"])
+    return counted.groupBy(*_CELL).agg(
         *[F.sum(F.col("_rows") * F.col(name)).alias(name) for name in REPEAT_WINDOWS])
 
 

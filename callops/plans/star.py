@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callops import schema
 from callops.operators.reshape import forecast_wide
-from callops.operators.skew import salted_lookup_join
+from callops.operators.skew import lookup_join
 from callops.plans.calls import CallRules
 
 #: Event types as call outcomes.
@@ -114,7 +114,7 @@ class Star:
         """Orders with their customer's nation and segment; one customer may hold most orders."""
         customers = self.table("customer").select(
             F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment", F.lit(True).alias("_known"))
-        joined = salted_lookup_join(self.table("orders"), customers, ["o_custkey"], ["o_orderkey"])
+        joined = lookup_join(self.table("orders"), customers, ["o_custkey"], ["o_orderkey"])
         return joined.where("_known").drop("_known")
 
     def csat_scores(self) -> DataFrame:

@@ -36,14 +36,14 @@ def quality_report(star: Star):
 
 @query(with_views("""
     , months AS (SELECT date_trunc('month', date)::date AS month, emp_id, count(*) AS audits,
-                        floor(sum(overall_score) * 1000 / count(*)) AS m
+                        sum(overall_score)::double / count(*) AS m
                  FROM audits GROUP BY 1, 2)
     SELECT month, emp_id, audits, 'ABCD'[((rank() OVER (PARTITION BY month ORDER BY m DESC) - 1) * 4
                        // count(*) OVER (PARTITION BY month)) + 1] AS categorie
     FROM months""", "audits"))
 def quality_category(star: Star):
-    """Monthly A–D letter of each audited agent by mean score, cut to three digits."""
+    """Monthly A–D letter of each audited agent by mean score."""
     months = star.quality().groupBy(F.trunc("date", "MM").alias("month"), F.col("agent_id").alias("emp_id")).agg(
         F.count(F.lit(1)).alias("audits"),
-        (F.floor(F.sum("overall_score") * 1000 / F.count(F.lit(1))) / 1000).alias("score"))
-    return quartile_category(months, ["month"], "score", digits=3).drop("score")
+        (F.sum("overall_score").cast("double") / F.count(F.lit(1))).alias("score"))
+    return quartile_category(months, ["month"], "score").drop("score")

@@ -46,7 +46,6 @@ AGENT_STAGING = """
 """.split()
 AGENT_DURATIONS = AGENT_STAGING[5:]
 
-SURVEY_SOURCE = "date user_id call_date phone_number ivr_flow user_full_name lead_id".split()
 SURVEY_STAGING = "date user_id call_date phone_number survey_rating user_full_name lead_id".split()
 
 FORECAST_HOURS = [str(hour) for hour in range(24)]

@@ -19,6 +19,8 @@ def build_session(app: str = "callops", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # joins whose smaller side turns out to fit in memory per partition need no sort of the wide side
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.python.sql.dataFrameDebugging.enabled": "false",  # no call-site lookup per column
@@ -41,10 +43,6 @@ def tune(spark: SparkSession) -> SparkSession:
     """
     if spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65535":
         spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
-    # joins whose smaller side turns out to fit in memory per partition need no sort of the wide side
-    threshold = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
-    if spark.conf.get(threshold) in ("0", "0b"):
-        spark.conf.set(threshold, "64m")
     return spark
 
 

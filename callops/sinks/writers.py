@@ -14,8 +14,16 @@ def _by_date(df: DataFrame, partition: str) -> DataFrame:
     return df.hint("rebalance", F.col(partition)) if partition in df.columns else df
 
 
-def replace_dates(df: DataFrame, path: str, partition: str = "date") -> None:
-    """Replace exactly the dates ``df`` holds; all other dates stay untouched."""
+def replace_dates(df: DataFrame, path: str, partition: str = "date", cover: DataFrame | None = None) -> None:
+    """Replace exactly the dates ``df`` holds; all other dates stay untouched.
+
+    ``cover`` (one row per date, ``date``) names the dates the write speaks for: those without a row
+    in ``df`` lose their old rows too. They go first, so a crash in between never shows a date twice;
+    running again finishes the work.
+    """
+    if cover is not None:
+        held = df.select(F.col(partition).alias("date")).distinct()
+        purge_dates(df.sparkSession, path, cover.select("date").join(held, "date", "left_anti"), partition)
     (_by_date(df, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition).parquet(path))
 

@@ -11,13 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from callops.plans.flows import FEEDS, Run
-from callops.sinks import writers
+from callops.plans.flows import Run, land_feed
 from callops.sources import envelope
 
 
 def land_stream(run: Run, table: str, incoming: str, checkpoint: str, one_per_line: bool = False) -> StreamingQuery:
-    """Land everything that has arrived under ``incoming/date=…`` since the last call, then stop."""
+    """Land everything that has arrived under ``incoming/date=…`` since the last call, then stop.
+
+    Each batch writes the audit rows of its dates, as a batch load does.
+    """
     files = (
         run.spark.readStream.schema(envelope.ENVELOPE + ", date date")
         .option("multiLine", not one_per_line).option("basePath", incoming).json(incoming)
@@ -26,8 +28,8 @@ def land_stream(run: Run, table: str, incoming: str, checkpoint: str, one_per_li
     def land(batch: DataFrame, _: int) -> None:
         dates = batch.select("date").distinct()
         envelopes = envelope.read_envelopes(batch.sparkSession, incoming, one_per_line)
-        rows = FEEDS[table](envelopes.join(dates, "date", "left_semi"))
-        writers.replace_dates(rows, run.path("landing", table))
+        at = batch.sparkSession.sql("select current_timestamp()").first()[0]
+        land_feed(run, table, envelopes.join(dates, "date", "left_semi"), at)
 
     return (
         files.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)

@@ -86,6 +86,18 @@ def test_new_rows_counts_duplicates(spark):
     assert rows(gates.new_rows(source, target)) == sorted([(1, "x"), (1, "x"), (None, "x"), (4, "x")], key=repr)
 
 
+def test_new_rows_looks_at_changed_dates_only(spark):
+    def frame(*values):
+        return spark.createDataFrame([(d.date(2023, 1, n) if n else None, v) for n, v in values], "date date, v string")
+
+    source = frame((1, "a"), (1, "a"), (2, "b"), (2, None), (3, "c"), (None, "n"), (None, "m"), (5, "x"))
+    target = frame((1, "a"), (1, "a"), (2, "b"), (2, "z"), (3, "c"), (None, "n"), (4, "gone"))
+    assert rows(gates._changed_dates(source, target, "date")) == sorted(
+        [(d.date(2023, 1, 2),), (None,), (d.date(2023, 1, 4),), (d.date(2023, 1, 5),)], key=repr)
+    assert rows(gates.new_rows(source, target, date="date")) == rows(gates.new_rows(source, target))
+    assert rows(gates.new_rows(source, source, date="date")) == []
+
+
 def test_new_rows_splits_a_very_frequent_row(spark):
     source = spark.range(10_000).selectExpr("'same' a").union(spark.range(5).selectExpr("cast(id as string) a"))
     out = gates.new_rows(source, source.limit(0), rows_per_task=300)

@@ -67,6 +67,15 @@ def test_snapshots(spark, path):
     assert rows(tables.read_snapshot(spark, path)) == [("2", "b")]
 
 
+def test_dates_that_became_empty_are_cleared(spark, path):
+    writers.replace_dates(frame(spark, (1, "a"), (2, "b"), (3, "c")), path)
+    cover = frame(spark, (1, ""), (2, "")).select("date")
+    writers.replace_dates(frame(spark, (1, "new")), path, cover=cover)
+    assert stored(spark, path) == [(day(1), "new"), (day(3), "c")]
+    writers.replace_dates(frame(spark).where("false"), path, cover=cover)
+    assert stored(spark, path) == [(day(3), "c")]
+
+
 def test_append_new_rows_twice(spark, path):
     writers.replace_dates(frame(spark, (1, "a"), (1, "a")), path)
     source = frame(spark, (1, "a"), (1, "a"), (1, "a"), (2, "b"))
