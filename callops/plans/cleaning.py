@@ -24,6 +24,26 @@ def _upper(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, tx.upper_name(F.col(name)))
 
 
+def readable(c: str, value: Column) -> Column:
+    """Whether a text says what it should: nothing, or something that can be read."""
+    return tx.blank_to_null(F.col(c).cast("string")).isNull() | value.isNotNull()
+
+
+CALL_NUMBERS = ("cust_talk_sec", "customer_hold_time", "wrap_up_time", "queue_seconds")
+
+
+def agent_rules() -> dict[str, Column]:
+    """What must hold of a row of the agent feed, by the name of the fault."""
+    durations = {f"{c} unreadable": readable(c, nm.duration_seconds(F.col(c).cast("string"))) for c in schema.AGENT_DURATIONS}
+    return durations | {"call_attended unreadable": readable("call_attended", F.col("call_attended").try_cast("bigint"))}
+
+
+def call_rules() -> dict[str, Column]:
+    """What must hold of a row of the call export."""
+    numbers = {f"{c} unreadable": readable(c, F.col(c).try_cast("bigint")) for c in CALL_NUMBERS}
+    return numbers | {"call_date unreadable": readable("call_date", F.col("call_date").try_cast("timestamp_ntz"))}
+
+
 def clean_agents(df: DataFrame) -> DataFrame:
     """Agent feed: upper-case names, durations in seconds."""
     seconds = {c: nm.duration_seconds(F.col(c)) for c in schema.AGENT_DURATIONS}
@@ -34,7 +54,7 @@ def clean_agents(df: DataFrame) -> DataFrame:
 def clean_calls(df: DataFrame) -> DataFrame:
     """Call export: 18 columns, numbers typed, upper-case names."""
     numbers = {c: F.col(c).try_cast("bigint")
-               for c in ("cust_talk_sec", "customer_hold_time", "wrap_up_time", "queue_seconds")}
+               for c in CALL_NUMBERS}
     typed = df.withColumns({**numbers, "call_date": F.col("call_date").try_cast("timestamp_ntz")})
     return _upper(typed, "full_name").select(*schema.EXPORT_CALL_STAGING)
 

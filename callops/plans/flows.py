@@ -106,8 +106,9 @@ def _dated(c: str = "date") -> dict[str, Column]:
     return {f"{c} unreadable": dt.lenient_date(F.col(c).cast("string")).isNotNull()}
 
 
-def _stage_dates(run: Run, table: str, target: str, gate: Callable, clean: Callable) -> None:
-    rows = clean(run.valid(table, run.landing(table), _dated()))
+def _stage_dates(run: Run, table: str, target: str, gate: Callable, clean: Callable,
+                 rules: dict[str, Column] | None = None) -> None:
+    rows = clean(run.valid(table, run.landing(table), _dated() | (rules or {})))
     path = run.path("staging", target)
     writers.apply_decisions(rows, run.decide(target, gate, rows, path), path)
 
@@ -134,11 +135,11 @@ def _stage_months(run: Run, table: str, target: str, clean: Callable) -> None:
 
 
 def stage_agents(run: Run) -> None:
-    _stage_dates(run, "agent_info_ldb", "agent_info_sdb", gates.count_parity, cleaning.clean_agents)
+    _stage_dates(run, "agent_info_ldb", "agent_info_sdb", gates.count_parity, cleaning.clean_agents, cleaning.agent_rules())
 
 
 def stage_calls(run: Run) -> None:
-    _stage_dates(run, "daily_exportcall_ldb", "exportcall_sdb", gates.count_parity, cleaning.clean_calls)
+    _stage_dates(run, "daily_exportcall_ldb", "exportcall_sdb", gates.count_parity, cleaning.clean_calls, cleaning.call_rules())
 
 
 def stage_surveys(run: Run) -> None:

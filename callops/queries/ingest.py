@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from callops import schema
 from callops.functions.text import expected_rows
 from callops.operators.checks import audit_rows, key_drift, reconciliation
+from callops.plans.flows import FEED_PREFIXES, FEEDS
 from callops.plans.star import Star
 from callops.queries.registry import query
 from callops.sources import envelope as env
@@ -73,19 +74,22 @@ def schema_drift(star: Star):
 
 
 @query("""
-    WITH c AS (SELECT ts::date AS day, count(*) AS n FROM events GROUP BY 1)
-    SELECT day, n AS agent_json_rows_count, n AS agent_insert_rows_count, n AS export_json_rows_count,
-           n AS export_insert_rows_count
-    FROM c""")
+    WITH c AS (SELECT ts::date AS day, count(*) AS n FROM events GROUP BY 1),
+    s AS (SELECT o_orderdate::date AS day, count(*) AS n FROM orders GROUP BY 1)
+    SELECT coalesce(c.day, s.day) AS day, c.n AS agent_json_rows_count, c.n AS agent_insert_rows_count,
+           c.n AS export_json_rows_count, c.n AS export_insert_rows_count, s.n AS csat_json_rows_count,
+           s.n AS csat_insert_rows_count
+    FROM c FULL JOIN s ON c.day = s.day""")
 def reconciliation_summary(star: Star):
-    """Declared against stored rows of two feeds per day, from audits taken the same day."""
+    """Declared against stored rows of the three feeds per day, from audits taken the same day."""
     audits = None
-    for table, envelopes, feed in (
-        ("agent_info_ldb", star.agent_envelopes().drop("event_id"), env.agent_feed),
-        ("daily_exportcall_ldb", star.call_envelopes(), env.call_feed),
+    for table, envelopes in (
+        ("agent_info_ldb", star.agent_envelopes().drop("event_id")),
+        ("daily_exportcall_ldb", star.call_envelopes()),
+        ("csat_ldb", star.survey_envelopes()),
     ):
         parsed = env.parse_envelopes(envelopes)
         at = F.to_timestamp_ntz(F.concat(F.col("date").cast("string"), F.lit(" 06:00:00")))
-        audit = audit_rows(feed(parsed), env.declared_rows(parsed), table, "landing_db", at)
+        audit = audit_rows(FEEDS[table](parsed), env.declared_rows(parsed), table, "landing_db", at)
         audits = audit if audits is None else audits.unionByName(audit)
-    return reconciliation(audits, {"agent_info_ldb": "agent", "daily_exportcall_ldb": "export"})
+    return reconciliation(audits, FEED_PREFIXES)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from callops import schema
 from callops.functions import dates as dt
 from callops.operators import checks, gates
-from callops.plans.cleaning import clean_employees
+from callops.plans.cleaning import clean_employees, readable
 from callops.plans.star import Star
 from callops.queries.registry import query
 from callops.queries.sql import column_list, with_views
@@ -122,11 +122,33 @@ def last_batch_rows(star: Star):
 
 
 @query("""
-    SELECT CASE o_orderstatus WHEN 'P' THEN 'date' END AS reason, count(*) AS rows FROM orders GROUP BY 1""")
+    WITH given AS (SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'P' THEN 'not yet' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date,
+                          CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' WHEN o_orderkey % 5 = 0 THEN '' ELSE o_custkey::varchar END AS number
+                   FROM orders)
+    SELECT *, concat_ws(', ', CASE WHEN date = 'not yet' THEN 'date unreadable' END,
+                        CASE WHEN number = 'n/a' THEN 'number unreadable' END) AS reasons FROM given""")
 def quarantine_split(star: Star):
-    """Rows kept (no reason) and rows set aside, by reason."""
-    rows = star.attrition()
-    good, bad = checks.split_valid(rows, {"date": dt.lenient_date(F.col("date")).isNotNull()})
-    kept = good.groupBy(F.lit(None).cast("string").alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
-    aside = bad.select(F.explode("broken_rules").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
-    return kept.unionByName(aside)
+    """All rows, with what is wrong with those set aside: dates and numbers that cannot be read."""
+    key = F.col("o_orderkey")
+    rows = star.table("orders").select(
+        key.alias("id"),
+        F.when(F.col("o_orderstatus") == "P", "not yet").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date"),
+        F.when(key % 7 == 0, "n/a").when(key % 5 == 0, "").otherwise(F.col("o_custkey").cast("string")).alias("number"))
+    good, bad = checks.split_valid(rows, {
+        "date unreadable": dt.lenient_date(F.col("date")).isNotNull(),
+        "number unreadable": readable("number", F.col("number").try_cast("bigint"))})
+    return good.withColumn("reasons", F.lit("")).unionByName(
+        bad.withColumn("reasons", F.array_join("broken_rules", ", ")).drop("broken_rules"))
+
+
+@query("""
+    WITH fresh AS (SELECT ts::date AS date, event_type AS status, event_id::varchar AS lead_id FROM events)
+    SELECT date, upper(status) AS status, lead_id FROM fresh WHERE date <> (SELECT min(date) FROM fresh)""")
+def always_replace_result(star: Star):
+    """All dates written again; the one that lost all its rows in the source is cleared."""
+    fresh, _ = _versions(star)
+    path = _written(star, "always", fresh)
+    days = fresh.select("date").distinct()
+    first = fresh.agg(F.min("date").alias("date"))
+    writers.replace_dates(fresh.join(first, "date", "left_anti").withColumn("status", F.upper("status")), path, cover=days)
+    return tables.read_table(star.spark, path, ["date", "status", "lead_id"])
