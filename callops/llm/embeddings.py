@@ -270,7 +270,7 @@ def near_groups(vectors: DataFrame, cosine: float, vec_id: str = "vec_id", embed
               .select(*kind, "least", F.coalesce("linked", "node").alias("root"),
                       (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")))
     rooted = written(rooted, "rooted")
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    ids = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
     decided = written(rooted.join(ids, "root").select(*kind, "n_links", "component_id"), "decided")
     able = prepared.where(F.col("key").isNotNull()).join(decided, kind).select("vec_id", "n_links", "component_id")
     alone = prepared.where(F.col("key").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

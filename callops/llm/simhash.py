@@ -15,6 +15,7 @@ the smallest of its component only if there is no other; rows repeated whole cou
 
 from __future__ import annotations
 
+import re
 from itertools import combinations
 
 import numpy as np
@@ -29,27 +30,50 @@ CELL_ROWS = 4096
 #: Pairs compared at a time, shingles hashed at a time.
 PAIRS = 1 << 21
 SHINGLES = 1 << 17
+#: Bytes of a text whose words are held at a time.
+PART_BYTES = 4 << 20
+_WHITE = re.compile(rb"[\x20\x09-\x0D]")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
 
-def fingerprint(text: str, shingle: int) -> int:
-    """The 64-bit SimHash of a text, unsigned."""
+def _word_parts(data: bytes):
+    """The words of a text, part by part; parts end at white space."""
+    at = 0
+    while at < len(data):
+        end = _WHITE.search(data, at + PART_BYTES)
+        stop = end.start() if end else len(data)
+        yield data[at:stop].split()  # bytes split at the six ASCII white-space characters
+        at = stop
+
+
+def _count_bits(words: list[bytes], size: int, ones: np.ndarray) -> int:
+    """Add the bits of the hashes of all shingles of ``size`` words; their number."""
     from xxhash import xxh64_intdigest
 
-    words = text.encode().translate(_LOWER).split()  # bytes split at the six ASCII white-space characters
-    if not words:
-        return 0
-    size, joined = min(shingle, len(words)), b" ".join(words)
+    joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate([[0], ends[:-1]])[:len(words) - size + 1]
     ends = ends[size - 1:] - 1
-    ones = np.zeros(64, np.int64)
     for at in range(0, len(starts), SHINGLES):
         spans = zip(starts[at:at + SHINGLES].tolist(), ends[at:at + SHINGLES].tolist())
         hashes = np.array([xxh64_intdigest(joined[a:b], 42) for a, b in spans], np.uint64)
         ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(_BITS[2 * ones > len(starts)].sum())
+    return len(starts)
+
+
+def fingerprint(text: str, shingle: int) -> int:
+    """The 64-bit SimHash of a text, unsigned."""
+    ones, total, kept = np.zeros(64, np.int64), 0, []
+    for part in _word_parts(text.encode().translate(_LOWER)):
+        words = kept + part
+        if len(words) >= shingle:
+            total += _count_bits(words, shingle, ones)
+            words = words[len(words) - shingle + 1:]  # start the next part's first shingles
+        kept = words
+    if not total and kept:
+        total = _count_bits(kept, len(kept), ones)
+    return int(_BITS[2 * ones > total].sum())
 
 
 def fingerprints(docs: DataFrame, shingle: int, keep: list[str], text: str = "text") -> DataFrame:
@@ -171,7 +195,7 @@ def near_groups(docs: DataFrame, shingle: int, bits: int, doc_id: str = "doc_id"
     roots = components(links(nodes.select("fp"), bits, segments, cell_rows)).toDF("fp", "linked")
     rooted = nodes.join(roots, "fp", "left").select("fp", "head", F.coalesce("linked", "fp").alias("root"))
     rooted = written(rooted, "rooted")
-    heads = rooted.groupBy("root").agg(F.min("head").alias("head"))
+    heads = written(rooted.groupBy("root").agg(F.min("head").alias("head")), "heads")
     decided = rooted.select("fp", "root").join(heads, "root").select("fp", F.col("head.doc_id").alias("component_id"), "head")
     return marked, decided
 

@@ -86,6 +86,15 @@ def test_links_of_random_fingerprints(spark):
     assert {p: joined.get(p, p) for p in prints} == least
 
 
+def test_parts_of_a_text_count_as_the_whole(monkeypatch):
+    texts = ["a", " a b", "one two three four five\n" * 40, ODD * 30, "x" * 100, " \t\r\n" * 9]
+    whole = [simhash.fingerprint(t, 4) for t in texts]
+    assert whole == [fingerprint(t) for t in texts]
+    for size in (1, 3, 50):
+        monkeypatch.setattr(simhash, "PART_BYTES", size)
+        assert [simhash.fingerprint(t, 4) for t in texts] == whole
+
+
 def test_one_of_each_group_survives(table):
     docs = table(cases(), "doc_id long, text string")
     kept = simhash.survivors(docs, 4, 4)
