@@ -16,6 +16,7 @@ from callops.plans.star import RULES, Star
 from callops.queries.registry import ORACLES, query
 from callops.queries.sql import column_list, with_views
 from callops.session import work_dir
+from callops.sinks import writers
 from callops.sources import tables
 
 #: The days of the events.
@@ -220,3 +221,133 @@ def staged_employee_slice(star: Star):
     for _ in range(2):
         flows.stage_employee_slice(run)
     return run.staging("emp_details_lob_sdb").select(*schema.EMPLOYEES_SHORT)
+
+
+# --- tables with seven years of dates: folded into one month, so that no run writes thousands of folders ---
+def _day(month: int, c: str):
+    return F.make_date(F.lit(2024), F.lit(month), F.dayofmonth(c) % 28 + 1)
+
+
+def _day_sql(month: int, c: str) -> str:
+    return f"make_date(2024, {month}, (day({c}) % 28 + 1)::bigint)"
+
+
+def _audits(star: Star) -> DataFrame:
+    return star.quality().withColumn("date", _day(1, "date"))
+
+
+@query(f"""
+    SELECT {_day_sql(1, 'l_shipdate')} AS date, l_suppkey::varchar AS agent_id, l_shipdate AS call_date,
+           100 - round(l_discount * 100)::int AS overall_score, l_quantity::int::varchar AS customer_number
+    FROM lineitem WHERE day(l_shipdate) % 28 + 1 <> 9""")
+def staged_quality(star: Star):
+    """Quality audits, staged again after one date vanished at the source."""
+    run = _run(star)
+    for number, keep in (("first", "true"), ("second", "day(date) <> 9")):
+        again = _run(star, number, run.root)
+        _land(again, quality=_audits(star).where(keep))
+        flows.stage_quality(again)
+    return run.staging("quality_sdb").select("date", "agent_id", "call_date", "overall_score", "customer_number")
+
+
+@query(f"""
+    WITH k AS (SELECT {_day_sql(1, 'o_orderdate')} AS date, o_custkey::varchar AS "Emp_Code_",
+                      'EMPLOYEE ' || o_custkey AS "Employee_Name_", floor(o_totalprice)::bigint AS "Assessment_Scores" FROM orders)
+    SELECT 'history' AS kept, * FROM k UNION ALL SELECT 'last', * FROM k WHERE date = (SELECT max(date) FROM k)""")
+def staged_knowledge(star: Star):
+    """The full history, and the copy of the newest reloaded date."""
+    run = _run(star)
+    _land(run, datawisepkt=star.knowledge().withColumn("date", _day(1, "date")))
+    flows.stage_knowledge(run)
+    parts = [run.staging(name).select(F.lit(kept).alias("kept"), *schema.KNOWLEDGE_TEST)
+             for kept, name in (("history", "datawisepkt_sdb"), ("last", "temp_datawisepkt_sdb"))]
+    return parts[0].unionByName(parts[1])
+
+
+def _scores(star: Star) -> dict[str, DataFrame]:
+    none = F.lit(None).cast("string")
+    training = star.training()
+    missing = {c: none for c in schema.TRAINING if c not in training.columns}
+    return {
+        "tni_efficacy": training.withColumns({**missing, "name": F.lit("n"), "date": _day(2, "date")}),
+        "bq_refresher": star.refresher().withColumns({"agent_name": F.lit("n"), "date": _day(2, "date_of_refresher")})}
+
+
+@query(f"""
+    SELECT {_day_sql(2, 'l_shipdate')} AS date, l_suppkey::varchar AS emp_id, 'N' AS name, l_quantity AS same_day_assessment_score
+    FROM lineitem WHERE l_returnflag = 'R'""")
+def staged_training(star: Star):
+    run = _run(star)
+    _land(run, **_scores(star))
+    flows.stage_training(run)
+    return run.staging("tni_efficacy_sdb").select("date", "emp_id", "name", "same_day_assessment_score")
+
+
+@query(f"""
+    SELECT {_day_sql(2, 'l_shipdate')} AS date, l_shipdate::date AS date_of_refresher, l_suppkey::varchar AS emp_id, 'N' AS agent_name,
+           round(l_tax * 100) AS assessment_scores
+    FROM lineitem WHERE l_linestatus = 'O'""")
+def staged_refresher(star: Star):
+    run = _run(star)
+    _land(run, **_scores(star))
+    flows.stage_refresher(run)
+    return run.staging("bq_refresher_sdb").select("date", *schema.REFRESHER)
+
+
+@query(ORACLES["attrition_slice"])
+def staged_attrition(star: Star):
+    """One line of business, appended twice: the second run finds nothing new."""
+    run = _run(star)
+    _land(run, attrition_tracker=star.attrition())
+    for _ in range(2):
+        flows.stage_attrition(run)
+    return run.staging("attrition_tracker_sdb").select(*schema.ATTRITION)
+
+
+@query(with_views(f"""
+    , pkt AS (SELECT DISTINCT ON (id) id, score FROM (SELECT o_custkey::varchar AS id, o_orderdate::date AS d, max(floor(o_totalprice)) AS score
+              FROM orders GROUP BY 1, 2) ORDER BY id, d DESC)
+    SELECT {_day_sql(1, 'a.call_date')} AS date, a.emp_id, a.call_date, a.overall_score, a.greetings1_binary_count,
+           pkt.score::double AS pkt_scores, s.role_fit, s.team_lead_name
+    FROM audits a LEFT JOIN pkt ON pkt.id = a.emp_id LEFT JOIN staff s ON s.employeeid = a.emp_id""", "audits", "staff"))
+def loaded_quality(star: Star):
+    """Audits of one month with the latest knowledge score before it, and people."""
+    run = _run(star)
+    _land(run, "staging", quality_sdb=_audits(star), datawisepkt_sdb=star.knowledge(), tni_efficacy_sdb=star.training(),
+          bq_refresher_sdb=star.refresher())
+    writers.write_snapshot(with_leader_names(star.employees()), run.path("staging", "emp_details_sdb"), run.as_of)
+    flows.report_quality(run)
+    return _report(run, "quality_rdb", ["date", "emp_id", "call_date", "overall_score", "greetings1_binary_count", "pkt_scores",
+                                        "role_fit", "team_lead_name"])
+
+
+_LOGGED = "SELECT ts::date FROM events WHERE event_type IN ('click', 'purchase', 'signup')"
+
+
+@query(f"SELECT * REPLACE (upper(user_name) AS user_name) FROM ({ORACLES['work_adherence']}) WHERE date IN ({_LOGGED})")
+def loaded_adherence(star: Star):
+    """All days with logins after the cut-off of the run's year."""
+    shifts = _stage_shifts(star)
+    run = flows.Run(star.spark, shifts.root, "2023-12-31", "later", FIRST, LAST, RULES)
+    _land(run, "staging", agent_info_sdb=star.agent_days())
+    writers.write_snapshot(with_leader_names(star.employees()), run.path("staging", "emp_details_sdb"), run.as_of)
+    flows.report_adherence(run)
+    return tables.read_table(run.spark, run.path("reporting", "work_adherence_rdb_tl"))
+
+
+@query(ORACLES["employee_enrichment"].replace("1996-06-01", AS_OF))
+def loaded_product_csat(star: Star):
+    run = _run(star)
+    _land(run, "staging", agent_info_sdb=star.agent_days(), exportcall_sdb=star.calls(),
+          csat_info_sdb=clean_surveys(star.surveys_raw()))
+    writers.write_snapshot(with_leader_names(star.employees()), run.path("staging", "emp_details_sdb"), run.as_of)
+    flows.report_product_csat(run)
+    return tables.read_table(run.spark, run.path("reporting", "product_csat_rdb"))
+
+
+@query(with_views(f"SELECT {column_list(schema.EMPLOYEE_REPORT)} FROM staff", "staff"))
+def loaded_employees(star: Star):
+    run = _run(star)
+    writers.write_snapshot(with_leader_names(star.employees()), run.path("staging", "emp_details_sdb"), run.as_of)
+    flows.report_employees(run)
+    return tables.read_snapshot(run.spark, run.path("reporting", "emp_details_rdb")).select(*schema.EMPLOYEE_REPORT)
