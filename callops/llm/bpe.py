@@ -23,28 +23,29 @@ from callops.llm.common import batches_of, map_arrow, text_of
 #: Bounds of what one Python worker holds at a time.
 SLICE_WORDS = 400_000
 SLICE_TOKENS = 1_000_000
-CACHE_WORDS = 150_000
+MERGE_WORDS = 30_000
+CACHE_WORDS = 200_000
 #: Words beyond this many bytes keep one list of tokens instead of a row per token and step.
-LONG_BYTES = 96
+LONG_BYTES = 96  # below 1024, see the codes of pairs
 
-# A step turns each word that still has a pair into its tokens after one contraction. Steps are
-# numbered; a word's result is its last step.
+# A step turns each word that still has a pair into its tokens after one contraction; a pair's code
+# orders by rank, then position. Steps are numbered; a word's result is its last step.
 _SHORT = """
 with recursive steps(word, pos, id, step) as (
-    select word, pos, id, 0 from start
-    union all
-    select word, pos, id, step from (
-        select word, pos, step, merging, case when pos = place then merged else id end as id,
-               lag(pos = place, 1, false) over (partition by word order by pos) as consumed
-        from (
-            select p.word, p.pos, p.id, p.step + 1 as step, m.id as merged,
-                   count(m.id) over every_token > 0 as merging,
-                   coalesce(arg_min(p.pos, m.id * 1000::bigint + p.pos) over every_token, -1) as place
-            from (select *, lead(id) over (partition by word order by pos) as following from steps) p
-            left join merges m on m.a = p.id and m.b = p.following
-            window every_token as (partition by p.word)
+    select word, pos, id, 0::integer from start
+    union all (
+        with pairs as materialized (
+            select p.word, p.pos, p.id, p.step, p.previous, (m.id::bigint << 10) | p.pos as code
+            from (
+                select *, lead(id) over in_word as following, lag(pos) over in_word as previous
+                from steps window in_word as (partition by word order by pos)
+            ) p left join merges m on m.a = p.id and m.b = p.following
+        ), firsts as (
+            select word, min(code) as code from pairs where code is not null group by word
         )
-    ) where merging and not consumed
+        select p.word, p.pos, (case when p.code = f.code then f.code >> 10 else p.id end)::integer, p.step + 1
+        from pairs p join firsts f on f.word = p.word where p.previous is distinct from (f.code & 1023)
+    )
 )
 select s.word, s.id from steps s
 join (select word, max(step) as step from steps group by word) l on l.word = s.word and l.step = s.step
@@ -93,8 +94,9 @@ with recursive words(word, ids, merging) using key (word) as (
 select word, ids from words order by word
 """
 
+# Bytes travel as the letters U+0000 to U+00FF.
 _DECODE = """
-select t.doc, unhex(string_agg(v.hex, '' order by t.pos)) as bytes
+select t.doc, array_to_string(list(v.letters order by t.pos), '') as letters
 from tokens t join vocabulary v on v.id = t.id group by t.doc order by t.doc
 """
 
@@ -119,11 +121,13 @@ class Merger:
                   for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         a, b, merged = (pa.array(x, pa.int32()) for x in zip(*merges)) if merges else [pa.array([], pa.int32())] * 3
         self.bytes_to_id = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
         self._table("merges", a=a, b=b, id=merged)
         self._table("vocabulary", id=pa.array(self.ranks.values(), pa.int32()),
-                    hex=pa.array([t.hex() for t in self.ranks], pa.string()))
-        self.known: dict[str, np.ndarray] = {}
+                    letters=pa.array([t.decode("latin-1") for t in self.ranks], pa.string()))
+        # word → its ids as bytes; the words met lately, and those before them
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _table(self, name: str, **columns) -> None:
         self.duck.register("given", pa.table(columns))
@@ -149,39 +153,38 @@ class Merger:
         for word in words:
             raw = word.encode()
             if raw in self.ranks:
-                self.known[word] = np.array([self.ranks[raw]], np.int32)
+                self.known[word] = np.int32(self.ranks[raw]).tobytes()
             else:
                 (short if len(raw) <= LONG_BYTES else long).append((word, raw))
-        if short:
-            found = self._query(_SHORT, "start", **self._rows([raw for _, raw in short]))
-            ids = found["id"].to_numpy().astype(np.int32)
-            ends = np.searchsorted(found["word"].to_numpy(), np.arange(len(short) + 1))
-            for k, (word, _) in enumerate(short):
-                self.known[word] = ids[ends[k]:ends[k + 1]]
-        if long:
-            found = self._query(_LONG, "start", **self._rows([raw for _, raw in long]))
-            for (word, _), ids in zip(long, found["ids"].combine_chunks()):
-                self.known[word] = ids.values.to_numpy().astype(np.int32)
+        for at in range(0, len(short), MERGE_WORDS):
+            part = short[at:at + MERGE_WORDS]
+            found = self._query(_SHORT, "start", **self._rows([raw for _, raw in part]))
+            ids = found["id"].to_numpy().astype(np.int32).tobytes()
+            ends = 4 * np.searchsorted(found["word"].to_numpy(), np.arange(len(part) + 1))
+            for (word, _), a, b in zip(part, ends[:-1].tolist(), ends[1:].tolist()):
+                self.known[word] = ids[a:b]
+        for word, raw in long:
+            found = self._query(_LONG, "start", **self._rows([raw]))
+            self.known[word] = found["ids"].combine_chunks()[0].values.to_numpy().astype(np.int32).tobytes()
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of the words one after another, and the number of tokens of each word."""
-        if not words:
-            return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        coded = pa.array(words, pa.large_string()).dictionary_encode()
-        distinct, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        self._merge([w for w in distinct if w not in self.known])
-        tokens = [self.known[w] for w in distinct]
-        lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
-        flat, starts = np.concatenate(tokens), np.cumsum(lengths) - lengths
-        counts = lengths[which]
-        shift = np.repeat(starts[which] - (np.cumsum(counts) - counts), counts)
-        return flat[shift + np.arange(counts.sum())], counts
+            self.older, self.known = self.known, {}
+        found = list(map(self.known.get, words))
+        if None in found:
+            missing = {w for w, ids in zip(words, found) if ids is None}
+            again = {w: self.older[w] for w in missing if w in self.older}
+            self.known |= again
+            self._merge([w for w in missing if w not in again])
+            found = list(map(self.known.get, words))
+        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), np.int32), counts
 
     def decode(self, doc: np.ndarray, ids: np.ndarray) -> dict[int, bytes]:
         found = self._query(_DECODE, "tokens", doc=doc, pos=np.arange(len(ids)), id=ids)
-        return dict(zip(found["doc"].to_pylist(), found["bytes"].to_pylist()))
+        texts = (letters.encode("latin-1") for letters in found["letters"].to_pylist())
+        return dict(zip(found["doc"].to_pylist(), texts))
 
 
 def _words(texts: list[str], pattern) -> Iterator[tuple[list[int], list[str]]]:
