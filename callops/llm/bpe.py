@@ -16,15 +16,16 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from callops.llm.common import batches_of, map_arrow, text_of
 
 #: Bounds of what one Python worker holds at a time.
-SLICE_WORDS = 400_000
-SLICE_TOKENS = 1_000_000
-MERGE_WORDS = 30_000
-CACHE_WORDS = 200_000
+SLICE_WORDS = 200_000
+SLICE_TOKENS = 500_000
+MERGE_WORDS = 15_000
+CACHE_WORDS = 250_000
 #: Words beyond this many bytes keep one list of tokens instead of a row per token and step.
 LONG_BYTES = 96  # below 1024, see the codes of pairs
 
@@ -94,52 +95,87 @@ with recursive words(word, ids, merging) using key (word) as (
 select word, ids from words order by word
 """
 
-# Bytes travel as the letters U+0000 to U+00FF.
-_DECODE = """
-select t.doc, array_to_string(list(v.letters order by t.pos), '') as letters
-from tokens t join vocabulary v on v.id = t.id group by t.doc order by t.doc
-"""
+_DECODE = "select doc, list(id order by pos) as ids from tokens group by doc order by doc"
+
 
+def _ranks(vocabulary: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, vocabulary.splitlines())}
 
-class Merger:
-    """One worker's DuckDB with the merge table, and the words met lately."""
 
-    _last: tuple[bytes, Merger] | None = None
+class _Duck:
+    """A worker's DuckDB for one vocabulary; it is kept for the next task."""
+
+    _last: tuple[bytes, _Duck] | None = None
 
     @classmethod
-    def of(cls, vocabulary: bytes) -> Merger:
-        """The worker's merger for a vocabulary; it is kept for the next task."""
+    def of(cls, vocabulary: bytes, *given):
         if cls._last is None or cls._last[0] != vocabulary:
-            cls._last = vocabulary, cls(vocabulary)
+            cls._last = vocabulary, cls(vocabulary, *given)
         return cls._last[1]
 
-    def __init__(self, vocabulary: bytes):
+    def __init__(self, duck=None):
         import duckdb
 
-        self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, vocabulary.splitlines())}
+        self.duck = duck or duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
+
+    def _query(self, sql: str, name: str, **columns) -> pa.Table:
+        self.duck.register(name, pa.table(columns))
+        result = self.duck.sql(sql).to_arrow_table()
+        self.duck.unregister(name)
+        return result
+
+
+class Decoder(_Duck):
+    """Token ids to bytes."""
+
+    def __init__(self, vocabulary: bytes, duck=None):
+        super().__init__(duck)
+        tokens = {rank: token for token, rank in _ranks(vocabulary).items()}
+        lengths = [len(tokens.get(k, b"")) for k in range(max(tokens) + 1)]
+        self.ends = np.cumsum(lengths)
+        self.starts = self.ends - lengths
+        self.letters = np.frombuffer(b"".join(tokens.get(k, b"") for k in range(max(tokens) + 1)), np.uint8)
+
+    def decode(self, doc: np.ndarray, ids: np.ndarray) -> dict[int, bytes]:
+        """Document → the bytes of its tokens in order of position."""
+        found = self._query(_DECODE, "tokens", doc=doc, pos=np.arange(len(ids), dtype=np.int32), id=ids)
+        lists = found["ids"].combine_chunks()
+        ordered, counts = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+        lengths = self.ends[ordered] - self.starts[ordered]
+        ends = np.cumsum(lengths)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[ordered] - (ends - lengths), lengths)
+        raw = self.letters[places].tobytes()
+        cuts = np.concatenate([[0], ends])[np.cumsum([0, *counts])].tolist()
+        return {k: raw[a:b] for k, a, b in zip(found["doc"].to_pylist(), cuts, cuts[1:])}
+
+    def texts(self, lists: pa.Array) -> pa.Array:
+        """The bytes of each list of ids."""
+        flat = lists.flatten().to_numpy()
+        doc = np.repeat(np.arange(len(lists), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
+        found: dict[int, list[bytes]] = {}
+        for at in range(0, len(flat), SLICE_TOKENS):  # a very long text comes in pieces
+            for k, piece in self.decode(doc[at:at + SLICE_TOKENS], flat[at:at + SLICE_TOKENS]).items():
+                found.setdefault(k, []).append(piece)
+        return pa.array([b"".join(found.get(k, [])) for k in range(len(lists))], pa.binary())
+
+
+class Merger(_Duck):
+    """Words to token ids: the merge table, and the words met lately."""
+
+    def __init__(self, vocabulary: bytes):
+        super().__init__()
+        self.ranks = _ranks(vocabulary)
         merges = [(self.ranks[t[:i]], self.ranks[t[i:]], rank) for t, rank in self.ranks.items()
                   for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         a, b, merged = (pa.array(x, pa.int32()) for x in zip(*merges)) if merges else [pa.array([], pa.int32())] * 3
+        self.duck.register("given", pa.table({"a": a, "b": b, "id": merged}))
+        self.duck.execute("create table merges as from given")
+        self.duck.unregister("given")
         self.bytes_to_id = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
-        self._table("merges", a=a, b=b, id=merged)
-        self._table("vocabulary", id=pa.array(self.ranks.values(), pa.int32()),
-                    letters=pa.array([t.decode("latin-1") for t in self.ranks], pa.string()))
         # word → its ids as bytes; the words met lately, and those before them
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _table(self, name: str, **columns) -> None:
-        self.duck.register("given", pa.table(columns))
-        self.duck.execute(f"create or replace table {name} as from given")
-        self.duck.unregister("given")
-
-    def _query(self, sql: str, name: str, **columns) -> pa.Table:
-        self.duck.register(name, pa.table(columns))
-        result = self.duck.sql(sql).to_arrow_table()
-        self.duck.unregister(name)
-        return result
-
     def _rows(self, words: list[bytes]) -> dict:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -173,19 +209,16 @@ class Merger:
             self.older, self.known = self.known, {}
         found = list(map(self.known.get, words))
         if None in found:
-            missing = {w for w, ids in zip(words, found) if ids is None}
+            gaps = [k for k, ids in enumerate(found) if ids is None]
+            missing = {words[k] for k in gaps}
             again = {w: self.older[w] for w in missing if w in self.older}
             self.known |= again
             self._merge([w for w in missing if w not in again])
-            found = list(map(self.known.get, words))
+            for k in gaps:
+                found[k] = self.known[words[k]]
         counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
         return np.frombuffer(b"".join(found), np.int32), counts
 
-    def decode(self, doc: np.ndarray, ids: np.ndarray) -> dict[int, bytes]:
-        found = self._query(_DECODE, "tokens", doc=doc, pos=np.arange(len(ids)), id=ids)
-        texts = (letters.encode("latin-1") for letters in found["letters"].to_pylist())
-        return dict(zip(found["doc"].to_pylist(), texts))
-
 
 def _words(texts: list[str], pattern) -> Iterator[tuple[list[int], list[str]]]:
     """Slices of pre-tokens in order, with the number of them that each text has in the slice."""
@@ -217,63 +250,81 @@ def _encode_texts(texts: list[str], pattern, merger: Merger) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32()))
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, keep: list[str] = ["doc_id"], text: str = "text",
-           out: str = "ids") -> DataFrame:
-    """The columns ``keep`` and ``out``, the token ids of ``text``.
+def _shared(df: DataFrame, vocabulary: str):
+    """The bytes of a rank file on the driver, for the executors: about 1 MB."""
+    with open(vocabulary, "rb") as f:
+        return df.sparkSession.sparkContext.broadcast(f.read())
+
+
+def _parts(batch: pa.RecordBatch):
+    """Slices of a batch whose last column holds texts, with the texts."""
+    sizes = pc.utf8_length(batch.column(batch.num_columns - 1)).to_pylist()
+    for start, end in batches_of(sizes, 4 * SLICE_WORDS):
+        part = batch.slice(start, end - start)
+        yield part.columns[:-1], part.column(part.num_columns - 1).to_pylist()
+
+
+_IDS = T.ArrayType(T.IntegerType(), False)
+
+
+def encode(docs: DataFrame, vocabulary: str, pattern: str, keep: list[str] = ["doc_id"], text: str = "text") -> DataFrame:
+    """The columns ``keep`` and ``ids``, the token ids of ``text``.
 
     ``vocabulary`` is a rank file on the driver (base64 token, rank); its bytes go to the executors.
     ``pattern`` splits a text into pre-tokens, which are merged separately.
     """
-    with open(vocabulary, "rb") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())  # one vocabulary file: about 1 MB
+    shared = _shared(docs, vocabulary)
 
     def run(batches):
         import regex
 
         compiled, merger = regex.compile(pattern), Merger.of(shared.value)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            sizes = [len(t) for t in texts.to_pylist()] if len(texts) else []
-            for start, end in batches_of(sizes, 4 * SLICE_WORDS):
-                part = batch.slice(start, end - start)
-                ids = _encode_texts(part.column(part.num_columns - 1).to_pylist(), compiled, merger)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], [*keep, out])
+            for kept, texts in _parts(batch):
+                yield pa.RecordBatch.from_arrays([*kept, _encode_texts(texts, compiled, merger)], [*keep, "ids"])
 
-    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField(out, T.ArrayType(T.IntegerType(), False), False)])
+    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("ids", _IDS, False)])
     return map_arrow(docs.select(*keep, text_of(text).alias("_text")), run, schema)
 
 
-def decode(tokens: DataFrame, vocabulary: str, keep: list[str], ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """The columns ``keep`` and ``out``, the bytes that the token ids stand for (null ids: no bytes)."""
-    with open(vocabulary, "rb") as f:
-        shared = tokens.sparkSession.sparkContext.broadcast(f.read())
+def decode(tokens: DataFrame, vocabulary: str, keep: list[str], ids: str = "ids") -> DataFrame:
+    """The columns ``keep`` and ``decoded``, the bytes that the token ids stand for (null ids: no bytes)."""
+    shared = _shared(tokens, vocabulary)
 
     def run(batches):
-        merger = Merger.of(shared.value)
+        decoder = Decoder.of(shared.value)
         for batch in batches:
-            lists = batch.column(batch.num_columns - 1)
-            lengths = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-            for start, end in batches_of(lengths, SLICE_TOKENS):
-                part, size = batch.slice(start, end - start), lengths[start:end]
-                flat = part.column(part.num_columns - 1).flatten().to_numpy()
-                doc = np.repeat(np.arange(end - start, dtype=np.int32), size)
-                found: dict[int, list[bytes]] = {}
-                for at in range(0, len(flat), SLICE_TOKENS):  # a single text beyond the bound comes in pieces
-                    for k, piece in merger.decode(doc[at:at + SLICE_TOKENS], flat[at:at + SLICE_TOKENS]).items():
-                        found.setdefault(k, []).append(piece)
-                texts = pa.array([b"".join(found.get(k, [])) for k in range(end - start)], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], texts], [*keep, out])
-
-    schema = T.StructType([*tokens.select(*keep).schema.fields, T.StructField(out, T.BinaryType(), False)])
+            sizes = pc.list_value_length(batch.column(batch.num_columns - 1)).to_pylist()
+            for start, end in batches_of(sizes, SLICE_TOKENS):
+                part = batch.slice(start, end - start)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], decoder.texts(part.column(part.num_columns - 1))], [*keep, "decoded"])
+
+    schema = T.StructType([*tokens.select(*keep).schema.fields, T.StructField("decoded", T.BinaryType(), False)])
     given = F.coalesce(F.col(ids), F.array().cast("array<int>")).alias("_ids")
     return map_arrow(tokens.select(*keep, given), run, schema)
 
 
-def digests(tokens: DataFrame, vocabulary: str, keep: list[str]) -> DataFrame:
+def round_trip(docs: DataFrame, vocabulary: str, pattern: str, keep: list[str] = ["doc_id"], text: str = "text") -> DataFrame:
+    """The columns ``keep``, ``ids`` and ``decoded``: encoding, and decoding of its ids, in one pass and one worker."""
+    shared = _shared(docs, vocabulary)
+
+    def run(batches):
+        import regex
+
+        compiled, merger = regex.compile(pattern), Merger.of(shared.value)
+        decoder = Decoder.of(shared.value, merger.duck)
+        for batch in batches:
+            for kept, texts in _parts(batch):
+                ids = _encode_texts(texts, compiled, merger)
+                yield pa.RecordBatch.from_arrays([*kept, ids, decoder.texts(ids)], [*keep, "ids", "decoded"])
+
+    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("ids", _IDS, False), T.StructField("decoded", T.BinaryType(), False)])
+    return map_arrow(docs.select(*keep, text_of(text).alias("_text")), run, schema)
+
+
+def digests(tokens: DataFrame, keep: list[str]) -> DataFrame:
     """``keep``, n_tokens, and the SHA-256 of the ids (decimal, comma-joined) and of the decoded bytes."""
-    counted = tokens.select(
+    return tokens.select(
         *keep, F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "ids")
-    columns = [*keep, "n_tokens", "ids_sha256"]
-    decoded = decode(counted, vocabulary, columns)
-    return decoded.select(*columns, F.sha2("decoded", 256).alias("decoded_sha256"))
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))

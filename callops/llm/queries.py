@@ -33,8 +33,8 @@ def query(table: str, oracle: str | None = None):
 
 @query("documents")
 def op1_bpe(docs: DataFrame) -> DataFrame:
-    vocabulary = public_tokenizers.path(VOCABULARY)
-    return bpe.digests(bpe.encode(docs, vocabulary, public_tokenizers.PATTERN), vocabulary, ["doc_id"])
+    tokens = bpe.round_trip(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    return bpe.digests(tokens, ["doc_id"])
 
 
 @query("documents", r"""

@@ -39,13 +39,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, lang, ids, n_tokens, and whether the ids decode to the text."""
-    vocabulary = public_tokenizers.path(VOCABULARY)
     keep = ["doc_id", "source", "lang", "sha"]
     told = docs.select("doc_id", "source", "lang", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"))
-    tokens = bpe.encode(told, vocabulary, public_tokenizers.PATTERN, keep).withColumn("tokens", F.col("ids"))
-    decoded = bpe.decode(tokens, vocabulary, [*keep, "tokens"])
-    return decoded.select("doc_id", "source", "lang", F.size("tokens").cast("long").alias("n_tokens"),
-                          F.col("tokens").alias("ids"), (F.sha2("decoded", 256) == F.col("sha")).alias("decodes"))
+    tokens = bpe.round_trip(told, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, keep)
+    return tokens.select("doc_id", "source", "lang", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                         (F.sha2("decoded", 256) == F.col("sha")).alias("decodes"))
 
 
 STAGES = [

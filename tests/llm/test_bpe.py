@@ -38,14 +38,17 @@ def test_odd_rows(spark, table):
              "".join(chr(random.randrange(0x20, 0x3000)) for _ in range(4000)), "word " * 200_000]
     rows = [(k % 9 if k < 9 else None, t) for k, t in enumerate(texts)]
     encoding = reference()
-    tokens = bpe.encode(table(rows, "doc_id long, text string"), PATH, PATTERN)
-    found = sorted((tuple(r) for r in bpe.digests(tokens, PATH, ["doc_id"]).collect()), key=repr)
-    assert found == sorted(((k, *expected(t, encoding)) for k, t in rows), key=repr)
+    docs = table(rows, "doc_id long, text string")
+    want = sorted(((k, *expected(t, encoding)) for k, t in rows), key=repr)
+    tokens = bpe.encode(docs, PATH, PATTERN)
+    apart = bpe.decode(tokens, PATH, ["doc_id", "ids"])
+    for found in (bpe.round_trip(docs, PATH, PATTERN), apart):
+        assert sorted((tuple(r) for r in bpe.digests(found, ["doc_id"]).collect()), key=repr) == want
 
 
 def test_empty_table(spark, table):
     empty = table([], "doc_id long, text string")
-    assert bpe.digests(bpe.encode(empty, PATH, PATTERN), PATH, ["doc_id"]).collect() == []
+    assert bpe.digests(bpe.round_trip(empty, PATH, PATTERN), ["doc_id"]).collect() == []
     none = spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")
     assert [bytes(r.decoded) for r in bpe.decode(none, PATH, ["doc_id"]).collect()] == [b""]
 
