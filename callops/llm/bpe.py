@@ -22,35 +22,38 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from callops.llm.common import batches_of, map_arrow, text_of
 
 #: Bounds of what one Python worker holds at a time.
-SLICE_WORDS = 200_000
+SLICE_WORDS = 300_000
 SLICE_TOKENS = 500_000
-MERGE_WORDS = 15_000
-CACHE_WORDS = 250_000
+MERGE_WORDS = 30_000
+CACHE_WORDS = 200_000
 #: Words beyond this many bytes keep one list of tokens instead of a row per token and step.
 LONG_BYTES = 96  # below 1024, see the codes of pairs
 
-# A step turns each word that still has a pair into its tokens after one contraction; a pair's code
-# orders by rank, then position. Steps are numbered; a word's result is its last step.
+# Rows are ordered by one key, word << 10 | position. A step turns each word that still has a pair
+# into its tokens after one contraction; a pair's code orders by rank, then position. Steps are
+# numbered; a word's result is its last step.
 _SHORT = """
-with recursive steps(word, pos, id, step) as (
-    select word, pos, id, 0::integer from start
+with recursive steps(place, id, step) as (
+    select place, id, 0::integer from start
     union all (
         with pairs as materialized (
-            select p.word, p.pos, p.id, p.step, p.previous, (m.id::bigint << 10) | p.pos as code
+            select p.place, p.id, p.step, p.before, (m.id::bigint << 10) | (p.place & 1023) as code
             from (
-                select *, lead(id) over in_word as following, lag(pos) over in_word as previous
-                from steps window in_word as (partition by word order by pos)
-            ) p left join merges m on m.a = p.id and m.b = p.following
+                select *, lead(id) over in_order as following, lead(place) over in_order as after, lag(place) over in_order as before
+                from steps window in_order as (order by place)
+            ) p left join merges m on m.a = p.id and m.b = p.following and p.after >> 10 = p.place >> 10
         ), firsts as (
-            select word, min(code) as code from pairs where code is not null group by word
+            select place >> 10 as word, min(code) as code from pairs where code is not null group by place >> 10
         )
-        select p.word, p.pos, (case when p.code = f.code then f.code >> 10 else p.id end)::integer, p.step + 1
-        from pairs p join firsts f on f.word = p.word where p.previous is distinct from (f.code & 1023)
+        select p.place, (case when p.code = f.code then f.code >> 10 else p.id end)::integer, p.step + 1
+        from pairs p join firsts f on f.word = p.place >> 10
+        where p.before is distinct from ((f.word << 10) | (f.code & 1023))
     )
 )
-select s.word, s.id from steps s
-join (select word, max(step) as step from steps group by word) l on l.word = s.word and l.step = s.step
-order by s.word, s.pos
+select s.place >> 10 as word, s.id from steps s
+join (select place >> 10 as word, max(step) as step from steps group by place >> 10) l
+on l.word = s.place >> 10 and l.step = s.step
+order by s.place
 """
 
 # The same for long words: one row per word, replaced in each step. All occurrences of the minimum
@@ -194,7 +197,8 @@ class Merger(_Duck):
                 (short if len(raw) <= LONG_BYTES else long).append((word, raw))
         for at in range(0, len(short), MERGE_WORDS):
             part = short[at:at + MERGE_WORDS]
-            found = self._query(_SHORT, "start", **self._rows([raw for _, raw in part]))
+            rows = self._rows([raw for _, raw in part])
+            found = self._query(_SHORT, "start", place=rows["word"].astype(np.int64) << 10 | rows["pos"], id=rows["id"])
             ids = found["id"].to_numpy().astype(np.int32).tobytes()
             ends = 4 * np.searchsorted(found["word"].to_numpy(), np.arange(len(part) + 1))
             for (word, _), a, b in zip(part, ends[:-1].tolist(), ends[1:].tolist()):
