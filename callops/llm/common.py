@@ -56,4 +56,11 @@ def importable(spark: SparkSession) -> None:
 def map_arrow(df: DataFrame, run, schema) -> DataFrame:
     """``df.mapInArrow`` with a function of this package."""
     importable(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def lean(batches):
+        import pyarrow as pa
+
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()  # the worker stays for the next task
+
+    return df.mapInArrow(lean, schema)

@@ -15,7 +15,6 @@ from __future__ import annotations
 import unicodedata
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -27,7 +26,7 @@ GRAMS = 3
 #: the id; languages with fewer use all of theirs.
 FIT_DOCS = 4_000
 #: Characters handled at a time.
-SLICE_CHARS = 500_000
+SLICE_CHARS = 200_000
 UNKNOWN = "und"
 
 
@@ -85,7 +84,7 @@ def sparse_counts(texts: list[str]):
     for a, b in batches_of([len(p) for p in pieces], SLICE_CHARS):
         feature, piece = _grams(pieces[a:b])
         n = b - a
-        if n * BUCKETS <= 8 * len(feature):  # few long texts: count in place
+        if n * BUCKETS <= 2 * len(feature):  # few long texts: count in place
             counts = np.bincount(piece * BUCKETS + feature, minlength=n * BUCKETS)
             cells = np.flatnonzero(counts)
             yield owner[a + cells // BUCKETS], cells % BUCKETS, counts[cells]
@@ -94,48 +93,42 @@ def sparse_counts(texts: list[str]):
             yield owner[a + cells // BUCKETS], cells % BUCKETS, counts
 
 
-def _fit_rows(docs: DataFrame, doc_id: str, text: str, lang: str, fit_docs: int) -> DataFrame:
-    labelled = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), text_of(text).alias("text"), F.col(doc_id).alias("id"))
-    sizes = written(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")), "languages")
-    # half of a 32-bit hash range stands for half of the documents
-    drawn = F.pmod(F.xxhash64("id", F.xxhash64("text")), F.lit(1 << 32)) < F.lit(float(1 << 32)) * fit_docs / F.col("docs")
-    return labelled.join(sizes, "lang").where(drawn).select("lang", "text")
+def _drawn(labelled: DataFrame, sizes: DataFrame, fit_docs: int) -> DataFrame:
+    """About ``fit_docs`` documents of each language: those whose hash falls into its share of all hashes."""
+    place = F.pmod(F.xxhash64("id", F.xxhash64("text")), F.lit(1 << 32))
+    return labelled.join(sizes, "lang").where(place < F.lit(float(1 << 32)) * fit_docs / F.col("docs")).select("lang", "text")
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
         fit_docs: int = FIT_DOCS) -> tuple[list[str], np.ndarray]:
     """(languages, log probabilities): one row per language, one column per feature, the prior last.
 
-    Counting runs in Spark; the driver receives one sparse row per language and task.
+    Counting runs in Spark; the driver receives a number per language and feature.
     """
+    labelled = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), text_of(text).alias("text"), F.col(doc_id).alias("id"))
+    sizes = written(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")), "languages")
 
     def count(batches):
-        total: dict[str, np.ndarray] = {}
-        rows: dict[str, int] = {}
         for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for text_number, feature, counts in sparse_counts(texts):
-                for name in set(langs):
-                    mine = np.array([x == name for x in langs])[text_number]
-                    total.setdefault(name, np.zeros(BUCKETS, np.int64))
-                    np.add.at(total[name], feature[mine], counts[mine])
-            for name in langs:
-                rows[name] = rows.get(name, 0) + 1
-        for name, sums in total.items():
-            yield pa.RecordBatch.from_pydict({"lang": [name], "docs": [rows[name]], "counts": [sums.astype("<i8").tobytes()]})
-
-    def add(group: pd.DataFrame) -> pd.DataFrame:
-        sums = sum(np.frombuffer(c, "<i8") for c in group["counts"])
-        return pd.DataFrame({"lang": [group["lang"].iloc[0]], "docs": [group["docs"].sum()], "counts": [sums.tobytes()]})
-
-    schema = "lang string, docs long, counts binary"
-    counted = map_arrow(_fit_rows(docs, doc_id, text, lang, fit_docs), count, schema)
-    found = sorted(counted.groupBy("lang").applyInPandas(add, schema).collect(), key=lambda r: r["lang"].encode())
-    if not found:
+            langs = batch.column(0).dictionary_encode()
+            which, names = langs.indices.to_numpy(), langs.dictionary
+            for number, feature, counts in sparse_counts(batch.column(1).to_pylist()):
+                cells, where = np.unique(which[number] * BUCKETS + feature, return_inverse=True)
+                sums = np.bincount(where, counts, minlength=len(cells)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(pa.array(cells // BUCKETS)), pa.array(cells % BUCKETS), pa.array(sums)], ["lang", "feature", "n"])
+
+    counted = map_arrow(_drawn(labelled, sizes, fit_docs), count, "lang string, feature long, n long")
+    found = counted.groupBy("lang", "feature").agg(F.sum("n").alias("n")).toArrow()
+    docs_of = {r["lang"]: r["docs"] for r in sizes.collect()}
+    names = sorted(docs_of, key=str.encode)
+    if not names:
         return [], np.zeros((0, BUCKETS + 1))
-    sums = np.array([np.frombuffer(r["counts"], "<i8") for r in found]) + 0.5
-    prior = np.array([r["docs"] for r in found], float)
-    return [r["lang"] for r in found], np.c_[np.log(sums / sums.sum(axis=1, keepdims=True)), np.log(prior / prior.sum())]
+    sums = np.full((len(names), BUCKETS), 0.5)
+    row = np.searchsorted(np.array([n.encode() for n in names], object), np.array([x.encode() for x in found["lang"].to_pylist()], object))
+    sums[row, found["feature"].to_numpy()] += found["n"].to_numpy()
+    prior = np.array([docs_of[n] for n in names], float)
+    return names, np.c_[np.log(sums / sums.sum(axis=1, keepdims=True)), np.log(prior / prior.sum())]
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str], text: str = "text") -> DataFrame:
