@@ -31,7 +31,7 @@ def some_links():
     yield "two", [(1, 2), (3, 4), (2**62, -2**62)]
 
 
-@pytest.mark.parametrize("name, links", some_links())
+@pytest.mark.parametrize("name, links", list(some_links()))
 def test_components(spark, name, links):
     found = {r.u: r.v for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == roots(links)
