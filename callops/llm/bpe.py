@@ -207,26 +207,23 @@ class Merger(_Duck):
             found = self._query(_LONG, "start", **self._rows([raw]))
             self.known[word] = found["ids"].combine_chunks()[0].values.to_numpy().astype(np.int32).tobytes()
 
-    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Token ids of the words one after another, and the number of tokens of each word."""
+    def learn(self, words: set[str]) -> None:
+        """Have the tokens of these words at hand."""
         if len(self.known) > CACHE_WORDS:
             self.older, self.known = self.known, {}
-        found = list(map(self.known.get, words))
-        if None in found:
-            gaps = [k for k, ids in enumerate(found) if ids is None]
-            missing = {words[k] for k in gaps}
-            again = {w: self.older[w] for w in missing if w in self.older}
-            self.known |= again
-            self._merge([w for w in missing if w not in again])
-            for k in gaps:
-                found[k] = self.known[words[k]]
-        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        return np.frombuffer(b"".join(found), np.int32), counts
-
-
-def _words(texts: list[str], pattern) -> Iterator[tuple[list[int], list[str]]]:
-    """Slices of pre-tokens in order, with the number of them that each text has in the slice."""
-    counts, words = [0] * len(texts), []
+        missing = words.difference(self.known)
+        again = missing.intersection(self.older)
+        self.known.update((w, self.older[w]) for w in again)
+        self._merge(list(missing - again))
+
+    def ids(self, words: list[str]) -> bytes:
+        """Token ids of learned words one after another, four bytes each."""
+        return b"".join(map(self.known.__getitem__, words))
+
+
+def _words(texts: list[str], pattern) -> Iterator[list[tuple[int, list[str]]]]:
+    """Slices of (text number, its next pre-tokens) in order."""
+    held, size = [], 0
     for k, text in enumerate(texts):
         if len(text) <= SLICE_WORDS:
             parts = [pattern.findall(text)]
@@ -234,24 +231,24 @@ def _words(texts: list[str], pattern) -> Iterator[tuple[list[int], list[str]]]:
             matches = (m[0] for m in pattern.finditer(text))
             parts = iter(lambda: list(islice(matches, SLICE_WORDS)), [])
         for part in parts:
-            counts[k] += len(part)
-            words += part
-            if len(words) >= SLICE_WORDS:
-                yield counts, words
-                counts, words = [0] * len(texts), []
-    yield counts, words
+            held.append((k, part))
+            size += len(part)
+            if size >= SLICE_WORDS:
+                yield held
+                held, size = [], 0
+    yield held
 
 
 def _encode_texts(texts: list[str], pattern, merger: Merger) -> pa.Array:
     """A list of token ids per text."""
-    ids, lengths = [], np.zeros(len(texts), np.int64)
-    for counts, words in _words(texts, pattern):
-        flat, each = merger.encode(words)
-        ids.append(flat)
-        ends = np.concatenate([[0], np.cumsum(each)])[np.cumsum([0, *counts])]
-        lengths += np.diff(ends)
-    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32()))
+    found: list[list[bytes]] = [[] for _ in texts]
+    for held in _words(texts, pattern):
+        merger.learn(set().union(*(words for _, words in held)))
+        for k, words in held:
+            found[k].append(merger.ids(words))
+    ids = [b"".join(parts) for parts in found]
+    offsets = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))
 
 
 def _shared(df: DataFrame, vocabulary: str):
