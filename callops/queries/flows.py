@@ -53,6 +53,15 @@ def _report(run: flows.Run, name: str, columns: list[str]) -> DataFrame:
 _SECONDS = ", ".join(f"{c}::double AS {c}" for c in schema.AGENT_DURATIONS)
 
 
+# Tables with seven years of dates are folded into one month, so that no run writes thousands of folders.
+def _day(month: int, c: str):
+    return F.make_date(F.lit(2024), F.lit(month), F.dayofmonth(c) % 28 + 1)
+
+
+def _day_sql(month: int, c: str) -> str:
+    return f"make_date(2024, {month}, (day({c}) % 28 + 1)::bigint)"
+
+
 def _upper(name: str, sql: str) -> str:
     return f"SELECT * REPLACE (upper({name}) AS {name}) FROM ({sql})"
 
@@ -90,10 +99,11 @@ def quarantined_calls(star: Star):
     return aside.select("lead_id", F.array_join("broken_rules", ", ").alias("reasons"))
 
 
-@query(with_views(f"SELECT {column_list(schema.SURVEY_STAGING)} FROM surveys", "surveys"))
+@query(with_views(f"SELECT {column_list(schema.SURVEY_STAGING)} FROM (SELECT * REPLACE ({_day_sql(1, 'date')} AS date) FROM surveys)",
+                  "surveys"))
 def staged_surveys(star: Star):
     run = _run(star)
-    _land(run, csat_ldb=star.surveys_raw())
+    _land(run, csat_ldb=star.surveys_raw().withColumn("date", _day(1, "date")))
     flows.stage_surveys(run)
     return run.staging("csat_info_sdb").select(*schema.SURVEY_STAGING)
 
@@ -190,14 +200,15 @@ def loaded_intervals(star: Star):
     return _report(run, "interval_wise_rdb", schema.INTERVAL_REPORT)
 
 
-@query(ORACLES["csat_score_daily"])
+@query(ORACLES["csat_score_daily"].replace("o_orderdate::date", _day_sql(1, "o_orderdate")))
 def loaded_csat_scores(star: Star):
-    """Score and resolution files appended and reported."""
+    """Score and resolution files appended, twice, and reported."""
     run = _run(star)
-    text_date = {"date": F.col("date").cast("string")}
+    text_date = {"date": _day(1, "date").cast("string")}
     _land(run, csat=star.csat_scores().withColumns(text_date), ftr_ivr=star.ftr_ivr().withColumns(text_date))
-    flows.stage_csat_scores(run)
-    flows.stage_ftr(run)
+    for _ in range(2):
+        flows.stage_csat_scores(run)
+        flows.stage_ftr(run)
     flows.report_csat_scores(run)
     return _report(run, "csat_score_daily", schema.CSAT_SCORE_REPORT)
 
@@ -223,15 +234,6 @@ def staged_employee_slice(star: Star):
     return run.staging("emp_details_lob_sdb").select(*schema.EMPLOYEES_SHORT)
 
 
-# --- tables with seven years of dates: folded into one month, so that no run writes thousands of folders ---
-def _day(month: int, c: str):
-    return F.make_date(F.lit(2024), F.lit(month), F.dayofmonth(c) % 28 + 1)
-
-
-def _day_sql(month: int, c: str) -> str:
-    return f"make_date(2024, {month}, (day({c}) % 28 + 1)::bigint)"
-
-
 def _audits(star: Star) -> DataFrame:
     return star.quality().withColumn("date", _day(1, "date"))
 
