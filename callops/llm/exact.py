@@ -162,14 +162,15 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: bo
 
     # byte check: every row of a group against the text of the row that stays
     copies, mine = met.where(F.col("rows") > 1), normalised(F.col("doc")[text])
-    heads = (copies.where("candidate").groupBy("digest")
-             .agg(F.min(F.struct("row", mine.alias("text"))).alias("head")))
+    # written, so that the join below has a plain exchange on either side and a hot group can be split
+    heads = written(copies.where("candidate").groupBy("digest")
+                    .agg(F.min(F.struct("row", mine.alias("text"))).alias("head")), "heads")
     compared = copies.join(heads, "digest").withColumn("same", mine == F.col("head.text"))
     needed = F.col("doc") if carry else F.when(~F.col("same"), F.col("doc"))
     checked = written(compared.select("doc_id", "n_chars", "digest", "sha", "row", "same", F.col("best.id").alias("keep_id"),
                                       (F.col("row") == F.col("head.row")).alias("kept"), needed.alias("doc")), "checked")
     equal = checked.where("same")
-    sizes = equal.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
+    sizes = written(equal.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size")), "sizes")
     equal = equal.join(sizes, "digest").select("doc_id", "sha", "keep_id", "group_size", "kept", "doc")
 
     # one digest, other bytes: groups by the bytes
