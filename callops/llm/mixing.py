@@ -7,8 +7,8 @@ up, so every source ends near its target. What a source sends is then a prefix o
 the last copy it sends (one row per source) decides for every document.
 
 Prefix sums are taken over ranges of the order: one sum per range, the running total of the ranges,
-and a window inside each range. Ranges are even by count of rows, also for a source with a third of
-all rows, and grow in number with the data.
+and a window inside each range. A source has as many ranges as its rows ask for, so they are even
+also where one source holds a third of all rows, and they grow in number with the data.
 
 Defined results: null text has no words; a null source is a source of its own, ordered last; rows
 that repeat a document (id and text) stand at one place of the order and are taken together;
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from callops.llm.common import WORD, text_of, written
 
 #: Rows of a range of the shuffled order, and copies between two steps of finish time.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 5_000
 
 
 def words(text: str) -> Column:
@@ -41,7 +41,7 @@ def source_key(source: str) -> Column:
 
 
 def targets(totals: DataFrame, weights: tuple[int, ...], share: float, repeats: int) -> DataFrame:
-    """Target words of each source (one row per source: ``key``, ``source_size``).
+    """Target words of each source (one row per source: ``key``, ``source_size``, ``docs``).
 
     Weights repeat over the sources in code point order, null last. No target exceeds ``repeats``
     times the source; the excess goes to the others by weight. Filled like connected vessels: sources
@@ -59,7 +59,7 @@ def targets(totals: DataFrame, weights: tuple[int, ...], share: float, repeats:
     kept = F.sum(F.when(F.col("full"), F.col("capacity")).otherwise(0.0)).over(everything)
     open_weight = F.sum(F.when(F.col("full"), 0.0).otherwise(F.col("weight"))).over(everything)
     level = (F.col("budget") - kept) / F.when(open_weight > 0, open_weight)
-    return full.select("key", "source_size", "budget",
+    return full.select("key", "source_size", "docs", "budget",
                        F.when(F.col("full"), F.col("capacity")).otherwise(F.col("weight") * level).alias("target"))
 
 
@@ -70,14 +70,15 @@ def cuts(sized: DataFrame, weights: tuple[int, ...], share: float, repeats: int,
     ``sized`` is a written table of ``key``, ``size`` and ``place``. ``last`` is (epoch, place), null
     where nothing is sent.
     """
-    totals = sized.groupBy("key").agg(F.sum("size").alias("source_size"))
+    totals = sized.groupBy("key").agg(F.sum("size").alias("source_size"), F.count_if(F.col("size") > 0).alias("docs"))
     goals = written(targets(totals, weights, share, repeats), "targets")
-    queue = sized.where(F.col("size") > 0)
-    ranges = max(1, -(-queue.count() // range_rows))
+    steps_a_unit = max(1, -(-(goals.agg(F.sum("docs")).first()[0] or 0) // range_rows))
 
     # words served by a source up to each document: totals of ranges, then a window inside each range
     number = F.conv(F.substring("place", 1, 8), 16, 10).cast("long")
-    queue = queue.withColumn("range", F.shiftright(number * F.lit(ranges), 32))
+    ranges = goals.select("key", F.ceil(F.col("docs") / range_rows).cast("long").alias("ranges"))
+    queue = (sized.where(F.col("size") > 0).join(ranges, "key")
+             .withColumn("range", F.floor(number * F.col("ranges") / F.lit(float(1 << 32)))).drop("ranges"))
     before = (queue.groupBy("key", "range").agg(F.sum("size").alias("served")).select(
         "key", "range", F.coalesce(F.sum("served").over(
             W.partitionBy("key").orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before")))
@@ -90,7 +91,7 @@ def cuts(sized: DataFrame, weights: tuple[int, ...], share: float, repeats: int,
               .select("key", "place", "size", "served", "source_size", "target", "budget",
                       F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("epoch"))
               .select("key", "place", "size", "epoch", "budget", finish.alias("finish"))
-              .withColumn("step", F.floor(F.col("finish") * ranges)))
+              .withColumn("step", F.floor(F.col("finish") * steps_a_unit)))
     copies = written(copies, "copies")
 
     # steps of finish time before the one in which the budget runs out are sent whole
