@@ -5,6 +5,11 @@ hashed to ``BUCKETS`` features. Counts per language give a matrix of log probabi
 broadcast (languages x BUCKETS numbers). Texts are scored in numpy: the features of a slice of texts
 become sparse (text, feature, count) triples that multiply the matrix.
 
+The posterior compares learned languages with each other only and is near 1 for any longer text, also
+in none of them. So the score is the posterior times how typical the text is of the language found: its
+mean log probability per n-gram, against those of the documents learned from, each by the counts of the
+others. A language learned from very few documents tells little more than its scripts apart.
+
 Defined results: a text that is null or has no letter is ``und`` with score 0, as is every text when
 nothing could be learned; equal scores go to the language that is first in code point order; rows
 repeated are predicted each; columns other than the named ones are not carried.
@@ -25,6 +30,13 @@ GRAMS = 3
 #: The model is fitted on about this many labelled documents of each language, chosen by a hash of
 #: the id; languages with fewer use all of theirs.
 FIT_DOCS = 4_000
+#: N-grams a text is taken to have besides its own, of the mean its language has: short texts tell little.
+PRIOR_GRAMS = 50
+#: The score halves where a mean is so many times as far below the language's median as that of the lowest
+#: hundredth of its documents, and at least this far (in log probability per n-gram).
+TIMES, LOW_SHARE, LEAST_WIDTH = 3.0, 0.01, 0.5
+#: How steep the score falls around there.
+STEEPNESS = 8.0
 #: Characters handled at a time.
 SLICE_CHARS = 200_000
 UNKNOWN = "und"
@@ -93,6 +105,63 @@ def sparse_counts(texts: list[str]):
             yield owner[a + cells // BUCKETS], cells % BUCKETS, counts
 
 
+def _whole_counts(texts: list[str]):
+    """The triples of ``sparse_counts`` with all counts of a text in one slice."""
+    held = None
+    for triple in sparse_counts(texts):
+        if held is not None:
+            number, feature, counts = (np.concatenate(pair) for pair in zip(held, triple))
+            cells, where = np.unique(number * BUCKETS + feature, return_inverse=True)
+            triple = cells // BUCKETS, cells % BUCKETS, np.bincount(where, counts, minlength=len(cells)).astype(np.int64)
+        if not len(triple[0]):
+            continue
+        last = np.searchsorted(triple[0], triple[0][-1])
+        if last:
+            yield tuple(x[:last] for x in triple)
+        held = tuple(x[last:] for x in triple)
+    if held is not None:
+        yield held
+
+
+def _typical(drawn: DataFrame, names: list[str], sums: np.ndarray, prior: np.ndarray) -> np.ndarray:
+    """Per language: the median of its documents' mean log probabilities, and the width at which the score halves.
+
+    A document's own counts are taken off before it is measured; those that another language fits better
+    do not count. The driver receives two numbers per document learned from.
+    """
+    shared = drawn.sparkSession.sparkContext.broadcast((np.ascontiguousarray(sums.T), sums.sum(axis=1), prior))
+    place = {name: k for k, name in enumerate(names)}
+
+    def run(batches):
+        table, totals, before = shared.value
+        for batch in batches:
+            own = np.array([place[x] for x in batch.column(0).to_pylist()], int)
+            log, grams, alone = np.zeros((batch.num_rows, len(names))) + before, np.zeros(batch.num_rows), np.zeros(batch.num_rows)
+            for number, feature, counts in _whole_counts(batch.column(1).to_pylist()):
+                edges = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
+                at = number[edges]
+                log[at] += np.add.reduceat(np.log(table[feature] / totals) * counts[:, None], edges)
+                grams[at] = np.add.reduceat(counts, edges)
+                rest = np.log((table[feature, own[number]] - counts) / (totals[own] - grams)[number])
+                alone[at] = np.add.reduceat(rest * counts, edges)
+            rows = np.arange(batch.num_rows)
+            log[rows, own] = alone + before[own]
+            fits = (grams > 0) & (log.argmax(axis=1) == own)
+            yield pa.RecordBatch.from_arrays([pa.array(own[fits]), pa.array(alone[fits]), pa.array(grams[fits])], ["k", "log", "grams"])
+
+    found = map_arrow(drawn, run, "k long, log double, grams double").toArrow()
+    which, log, grams = (found[name].to_numpy() for name in ("k", "log", "grams"))
+    floor = -np.log(BUCKETS)  # a text of n-grams in no language, all equally likely
+    out = np.tile([floor, 0.0], (len(names), 1))
+    for k in np.unique(which):
+        one = which == k
+        centre = max(floor, np.median(log[one] / grams[one]))
+        below = np.quantile((grams[one] * centre - log[one]) / (grams[one] + PRIOR_GRAMS), 1 - LOW_SHARE)
+        out[k] = centre, min(max(TIMES * below, LEAST_WIDTH), centre - floor)
+    out[:, 1] = np.maximum(out[:, 1], 1e-3)
+    return out
+
+
 def _drawn(labelled: DataFrame, sizes: DataFrame, fit_docs: int) -> DataFrame:
     """About ``fit_docs`` documents of each language: those whose hash falls into its share of all hashes."""
     place = F.pmod(F.xxhash64("id", F.xxhash64("text")), F.lit(1 << 32))
@@ -100,10 +169,11 @@ def _drawn(labelled: DataFrame, sizes: DataFrame, fit_docs: int) -> DataFrame:
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-        fit_docs: int = FIT_DOCS) -> tuple[list[str], np.ndarray]:
-    """(languages, log probabilities): one row per language, one column per feature, the prior last.
+        fit_docs: int = FIT_DOCS) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(languages, log probabilities, typical means): one row per language; of the log probabilities one
+    column per feature, the prior last; of the typical means median and width.
 
-    Counting runs in Spark; the driver receives a number per language and feature.
+    Counting runs in Spark; the driver receives a number per language and feature, and two per document learned from.
     """
     labelled = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), text_of(text).alias("text"), F.col(doc_id).alias("id"))
     sizes = written(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")), "languages")
@@ -118,22 +188,25 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
                 yield pa.RecordBatch.from_arrays(
                     [names.take(pa.array(cells // BUCKETS)), pa.array(cells % BUCKETS), pa.array(sums)], ["lang", "feature", "n"])
 
-    counted = map_arrow(_drawn(labelled, sizes, fit_docs), count, "lang string, feature long, n long")
+    drawn = written(_drawn(labelled, sizes, fit_docs), "learned")
+    counted = map_arrow(drawn, count, "lang string, feature long, n long")
     found = counted.groupBy("lang", "feature").agg(F.sum("n").alias("n")).toArrow()
     docs_of = {r["lang"]: r["docs"] for r in sizes.collect()}
     names = sorted(docs_of, key=str.encode)
     if not names:
-        return [], np.zeros((0, BUCKETS + 1))
+        return [], np.zeros((0, BUCKETS + 1)), np.zeros((0, 2))
     sums = np.full((len(names), BUCKETS), 0.5)
     row = np.searchsorted(np.array([n.encode() for n in names], object), np.array([x.encode() for x in found["lang"].to_pylist()], object))
     sums[row, found["feature"].to_numpy()] += found["n"].to_numpy()
     prior = np.array([docs_of[n] for n in names], float)
-    return names, np.c_[np.log(sums / sums.sum(axis=1, keepdims=True)), np.log(prior / prior.sum())]
+    prior = np.log(prior / prior.sum())
+    return names, np.c_[np.log(sums / sums.sum(axis=1, keepdims=True)), prior], _typical(drawn, names, sums, prior)
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str], text: str = "text") -> DataFrame:
-    """The columns ``keep``, ``lang_pred`` and ``score``, the posterior probability of the prediction."""
-    names, matrix = model
+def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], keep: list[str], text: str = "text") -> DataFrame:
+    """The columns ``keep``, ``lang_pred`` and ``score``, the posterior probability of the prediction
+    times how typical the text is of its language."""
+    names, matrix, typical = model
     shared = docs.sparkSession.sparkContext.broadcast(np.ascontiguousarray(matrix.T))  # (BUCKETS + 1) x languages
 
     def run(batches):
@@ -141,17 +214,21 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
             log = np.zeros((len(texts), len(names))) + weights[-1] if names else np.zeros((len(texts), 0))
-            letters = np.zeros(len(texts), bool)
+            grams = np.zeros(len(texts))
             for number, feature, counts in sparse_counts(texts) if names else ():
                 edges = np.flatnonzero(np.r_[True, number[1:] != number[:-1]]) if len(number) else np.zeros(0, int)
                 if len(edges):
                     log[number[edges]] += np.add.reduceat(weights[feature] * counts[:, None], edges)
-                    letters[number] = True
+                    grams[number[edges]] += np.add.reduceat(counts, edges)
             best, score, label = np.zeros(len(texts), int), np.zeros(len(texts)), [UNKNOWN] * len(texts)
             if names:
                 best = log.argmax(axis=1)
-                score = np.where(letters, 1 / np.exp(log - log.max(axis=1, keepdims=True)).sum(axis=1), 0.0)
-                label = [names[k] if seen else UNKNOWN for k, seen in zip(best, letters)]
+                posterior = 1 / np.exp(log - log.max(axis=1, keepdims=True)).sum(axis=1)
+                centre, width = typical[best].T
+                above = (log.max(axis=1) - weights[-1][best] - grams * centre) / (grams + PRIOR_GRAMS)
+                like = 1 / (1 + np.exp(np.clip(-STEEPNESS * (1 + above / width), -700, 700)))
+                score = np.where(grams > 0, posterior * like, 0.0)
+                label = [names[k] if n else UNKNOWN for k, n in zip(best, grams)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(label, pa.string()), pa.array(score, pa.float64())],
                                              [*keep, "lang_pred", "score"])
 

@@ -1,5 +1,8 @@
+import random
 import zlib
 
+import numpy as np
+
 from callops.llm import langid
 from callops.llm.queries import QUERIES
 from llm_samples import FOLDER, ODD, table  # noqa: F401
@@ -66,3 +69,40 @@ def test_rejected_documents_go_and_columns_stay(table):  # noqa: F811
     kept = langid.keep_identified(docs, 0.5)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == list(range(20))
+
+
+def test_texts_in_no_learned_language_are_rejected(spark):
+    learned = spark.read.parquet(f"{FOLDER.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text", "lang")
+    random.seed(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    strange = ["Все люди рождаются свободными и равными в своем достоинстве и правах.", "Привет, мир",
+               "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+               "Alle mensen worden vrij en gelijk in waardigheid en rechten geboren. Zij zijn begiftigd met verstand en geweten",
+               "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza",
+               "".join(random.choice(letters) for _ in range(50)),
+               " ".join("".join(random.choice(letters) for _ in range(6)) for _ in range(20_000))]
+    docs = learned.union(spark.createDataFrame([(-1 - k, t, None) for k, t in enumerate(strange)], learned.schema))
+    kept = {r.doc_id for r in langid.keep_identified(docs, 0.5).collect()}
+    assert not {k for k in kept if k < 0}
+    assert len(kept) > 0.99 * learned.count()
+
+
+def test_strangers_of_a_language_with_one_document(table):  # noqa: F811
+    rows = [(k, "the house and the dog " * 5, "en") for k in range(20)] + [(30, "das Haus und der Hund " * 5, "de")]
+    assert zlib.crc32(b"30") % 5  # learned from
+    rows += [(200, "Все люди рождаются свободными и равными в своем достоинстве и правах.", None), (201, "der Hund und das Haus", None)]
+    kept = {r.doc_id for r in langid.keep_identified(table(rows, "doc_id long, text string, lang string"), 0.5).collect()}
+    assert 200 not in kept and {30, 201} <= kept
+
+
+def test_counts_of_a_text_stay_together(monkeypatch):
+    monkeypatch.setattr(langid, "SLICE_CHARS", 100)
+    texts = ["short one", "The quick brown fox, the lazy dog; " * 50, "", "12", "another", "more and more " * 30]
+    seen, total = [], 0
+    for number, feature, counts in langid._whole_counts(texts):
+        cells = number * langid.BUCKETS + feature
+        assert len(np.unique(cells)) == len(cells)
+        seen += np.unique(number).tolist()
+        total += counts.sum()
+    assert seen == sorted(set(seen)) == [0, 1, 4, 5]
+    assert total == sum(c.sum() for _, _, c in langid.sparse_counts(texts))
