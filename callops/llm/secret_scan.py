@@ -1,11 +1,13 @@
 """Secret scan: fixed patterns, and a battery of randomness tests for other long tokens.
 
-Base spans are the matches of three patterns. Tokens beyond them (20 and more characters with a digit
-in one of the inferred encodings) are tested for what a generated key must look like: chi-squared
+Base spans are the matches of three patterns. Tokens beyond them are runs of 20 and more characters of
+``[A-Za-z0-9+/_-]``, and the pieces of that length into which a run falls when it is cut at some of
+``+/_-``: a key may have these characters, or a path or a prefix before it. Those in one of the inferred
+encodings, but for letters of one case alone, are tested for what a generated key must look like: chi-squared
 uniformity over the encoding's alphabet, runs above and below its middle, and serial correlation of
 neighbours. The three p-values are combined by Bonferroni; within each class of lengths the
 Benjamini-Hochberg rule at level ``rate`` over all tokens of the corpus tells which are not random.
-The others are added as spans of kind ``random``, unless they touch a base span.
+The others are added as spans of kind ``random``, unless they touch a base span or lie in one of their kind.
 
 All of it is built-in functions. Ranks of p-values come from a histogram per length class with at
 most ``BINS`` bins, p-values rounded up to a bin's edge, of which the
@@ -29,10 +31,13 @@ KINDS = (
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),  # runs are maximal, so shorter ones need not be matched and dropped
 )
-#: A token starts where no such character stands before it, and has a digit.
-TOKEN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}"
+#: A token starts where no such character stands before it.
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
+#: What a run is cut at, one way after the other: the rest of ``+/_-`` stays in the pieces.
+CUTS = ("/", "/_", "/-", "_-", "+/_-")
 NAMES = [kind for kind, *_ in KINDS] + ["random"]
 #: Alphabets in order of value, and the pattern by which one is inferred; the first that fits counts.
+#: Dashes that are not in the alphabet part groups and have no value.
 UPPER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 ENCODINGS = (
     (r"^(?=.*[a-f])[0-9a-f]+$", DIGITS + "abcdef"),
@@ -43,6 +48,10 @@ ENCODINGS = (
     (r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9]+$", UPPER + UPPER.lower() + DIGITS),
     (r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/]+$", UPPER + UPPER.lower() + DIGITS + "+/"),
     (r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9_-]+$", UPPER + UPPER.lower() + DIGITS + "-_"),
+    (r"^(?=.*[a-f])(?=.*-)(?!-)(?!.*--)(?!.*-$)[0-9a-f-]+$", DIGITS + "abcdef"),
+    (r"^(?=.*[A-F])(?=.*-)(?!-)(?!.*--)(?!.*-$)[0-9A-F-]+$", DIGITS + "ABCDEF"),
+    (r"^(?=.*[a-z])[a-z0-9_-]+$", DIGITS + UPPER.lower() + "-_"),
+    (r"^(?=.*[A-Z])[A-Z0-9_-]+$", DIGITS + UPPER + "-_"),
 )
 #: A hundredth of a decimal power of the p-value a bin.
 BINS = 3000
@@ -153,15 +162,44 @@ def _bin(token: Column) -> Column:
     """The bin of a token's p-value, null where no encoding fits."""
     p = F.lit(None).cast("double")
     for pattern, alphabet in reversed(ENCODINGS):
-        characters = F.filter(F.split(token, ""), lambda c: c != "")
+        valued = token if "-" in alphabet else F.translate(token, "-", "")
+        characters = F.filter(F.split(valued, ""), lambda c: c != "")
         values = F.transform(characters, lambda c: F.call_function("instr", F.lit(alphabet), c) - 1)
         p = F.when(token.rlike(pattern), _let(values, lambda v: _p_value(v, len(alphabet)))).otherwise(p)
     return F.least(F.lit(BINS), F.floor(-100 * F.log10(F.greatest(p, F.lit(1e-300))))).cast("int")
 
 
+def _tokens(text: Column) -> Column:
+    """(start, end, found) of the runs and of their pieces, each once, in order."""
+
+    def pieces(run: Column) -> Column:
+        ways = []
+        for cut in CUTS:
+            kept = "A-Za-z0-9" + "".join(c for c in "+/_-" if c not in cut)
+            ways.append(_matches(run["found"], f"(?<![{kept}])[{kept}]{{20,}}", 0))
+        whole = F.struct(run["start"].alias("start"), run["end"].alias("end"), run["found"].alias("found"))
+        inside = F.transform(F.concat(*ways), lambda s: F.struct(
+            (run["start"] + s["start"]).alias("start"), (run["start"] + s["end"]).alias("end"), s["found"].alias("found")))
+        return F.when(run["found"].rlike("[+/_-]"), F.concat(F.array(whole), inside)).otherwise(F.array(whole))
+
+    def once(found: Column) -> Column:
+        def new(s: Column, i: Column) -> Column:
+            before = found[F.greatest(i - 1, F.lit(0))]
+            return (i == 0) | (s["start"] != before["start"]) | (s["end"] != before["end"])
+
+        return F.filter(found, new)
+
+    return _let(F.sort_array(F.flatten(F.transform(_matches(text, TOKEN, 0), pieces))), once)
+
+
+def _mixed(token: Column) -> Column:
+    """Not letters of one case alone, which are not tested: words would pass too often."""
+    return token.rlike("[0-9]") | (token.rlike("[a-z]") & token.rlike("[A-Z]"))
+
+
 def candidates(text: Column) -> Column:
     """(start, end, length class, bin) of the tokens in an encoding."""
-    tokens = F.transform(_matches(text, TOKEN, 0), lambda s: F.struct(
+    tokens = F.transform(F.filter(_tokens(text), lambda s: _mixed(s["found"])), lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"),
         F.floor(F.log2((s["end"] - s["start"]).cast("double"))).cast("int").alias("class"), _bin(s["found"]).alias("bin")))
     return F.filter(tokens, lambda s: s["bin"].isNotNull())
@@ -181,6 +219,18 @@ def not_random(tokens: DataFrame, rate: float) -> dict[int, int]:
     return {row["class"]: row["bin"] for row in rejected.groupBy("class").agg(F.min("bin").alias("bin")).collect()}
 
 
+def _outermost(spans: Column) -> Column:
+    """The spans (start, kind, end) that lie in no other of them; each is there once."""
+    ordered = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s.alias("span"))))
+    nothing = F.struct(F.lit(0).cast("long").alias("top"), F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>").alias("kept"))
+
+    def add(a: Column, x: Column) -> Column:
+        return F.when(x["span"]["end"] <= a["top"], a).otherwise(F.struct(
+            x["span"]["end"].alias("top"), F.concat(a["kept"], F.array(x["span"])).alias("kept")))
+
+    return F.when(F.size(spans) < 2, spans).otherwise(F.aggregate(ordered, nothing, add, lambda a: a["kept"]))
+
+
 def _joined(spans: Column) -> Column:
     names = F.array(*map(F.lit, NAMES))
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
@@ -206,4 +256,4 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rate: floa
     counts = [F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long").alias(f"n_{kind}")
               for number, (kind, *_) in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
-                        _joined(F.sort_array(F.concat("base", added))).alias("spans"))
+                        _joined(F.sort_array(F.concat("base", _outermost(added)))).alias("spans"))

@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from callops.llm import secret_scan
 from callops.llm.queries import QUERIES
 from llm_samples import FOLDER, ODD, table  # noqa: F401
@@ -59,6 +61,41 @@ def test_random_keys_are_added_and_made_up_names_are_not(table):  # noqa: F811
     assert [x for k, x in enumerate(names) if "random" in spans[len(keys) + k]] == []
 
 
+def test_keys_with_something_before_them_and_in_other_alphabets(table):  # noqa: F811
+    random.seed(5)
+
+    def key(alphabet, n):
+        return "".join(random.choice(alphabet) for _ in range(n))
+
+    lower, letters = "abcdefghijklmnopqrstuvwxyz0123456789", B64[:52]
+    cases = []  # text, where the key stands
+    for _ in range(25):
+        for before, k in (("https://api.example.com/v1/sk_live_", key(B64[:62], 24)), ("path/my-app/", key(B64[:62], 32)),
+                          ("sk_test_", key(lower, 24)), ("id ", key(lower + "_-", 32)), ("id ", key(letters, 24)),
+                          ("a/b_c/", "-".join(key("0123456789abcdef", n) for n in (8, 4, 4, 4, 12))),
+                          ("id ", "-".join(key("0123456789ABCDEF", n) for n in (8, 4, 4, 4, 12))),
+                          ("id ", key("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-", 32))):
+            cases.append((f"é {before}{k} here", 2 + len(before), 2 + len(before) + len(k)))
+    words = ["the-long-name-of-a-page-about-house-and-dog", "some_very_long_name_of_a_variable_in_code", "https://example.com/the/way/to/some/page/about/dogs",
+             "/usr/share/doc/python/examples/library/index", "onelongwordoflettersonly", "ANOTHER_LONG_NAME_OF_A_CONSTANT"] * 10
+    rows = [(k, t) for k, (t, *_) in enumerate(cases)] + [(1000 + k, w) for k, w in enumerate(words)]
+    spans = {r.doc_id: [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("random")]
+             for r in secret_scan.scan(table(rows, "doc_id long, text string")).collect()}
+    for kind in range(8):
+        found = [any(a <= start and end <= b for a, b in spans[k]) for k, (_, start, end) in enumerate(cases) if k % 8 == kind]
+        assert sum(found) / len(found) > 0.8, cases[kind]
+    assert all(not (c <= a and b <= d and (a, b) != (c, d)) for s in spans.values() for a, b in s for c, d in s)
+    assert [w for k, w in enumerate(words) if spans[1000 + k]] == []
+
+
+def test_runs_and_pieces_once_each(table):  # noqa: F811
+    texts = ["é AAAAAAAAAAAAAAAAAAAA/bbbbbbbbbbbbbbbbbbbb_cccccccccccccccccccc", "x" * 20 + "-" + "y" * 19, "short_a/b", "z" * 25]
+    found = table(list(enumerate(texts)), "doc_id long, text string").select("doc_id", secret_scan._tokens(F.col("text")).alias("t")).collect()
+    told = {r.doc_id: [(s.start, s.end) for s in r.t] for r in found}
+    assert all(texts[k][s.start:s.end] == s.found for k, r in enumerate(sorted(found)) for s in r.t)
+    assert told == {0: [(2, 22), (2, 43), (2, 64), (23, 43), (23, 64), (44, 64)], 1: [(0, 20), (0, 40)], 2: [], 3: [(0, 25)]}
+
+
 def test_false_discovery_rule(spark):
     """The histogram gives the threshold of the sorted p-values."""
     random.seed(6)
