@@ -8,7 +8,8 @@ a rule get its verdict.
 
 All of it is built-in functions. Links are counted per pair of hosts before any shuffle, so a host
 with a third of all pages has one row per linked host. Every few rounds the scores are written to the
-shared folder.
+shared folder, and the walk ends when all that later rounds could add to any host, the mass on its way
+times damping / (1 - damping), is less than ``TOLERANCE``.
 
 Defined results: a null url, or one without ``://``, has an empty host and path; pages without a rule
 and with an empty or unlinked, unseeded host are allowed; null html has no links; rows repeated are
@@ -23,7 +24,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from callops.llm.common import text_of, written
 
+#: ``ROUNDS`` is how far the SQL beside the query walks; ``judge`` goes on until nothing is missing.
 DAMPING, ROUNDS, ROUNDS_A_WRITE, THRESHOLD = 0.85, 12, 4, 0.5
+#: Pages' worth of trust or distrust that no host misses more of; a host is blocked from half a page on.
+TOLERANCE = 1e-6
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 #: Absolute and scheme-relative targets of links.
@@ -61,11 +65,14 @@ def host_links(pages: DataFrame) -> DataFrame:
             .groupBy("source", "target").agg(F.count(F.lit(1)).alias("links")))
 
 
-def propagate(seeds: DataFrame, links: DataFrame, damping: float, rounds: int) -> DataFrame:
+def propagate(seeds: DataFrame, links: DataFrame, damping: float, rounds: int | None) -> DataFrame:
     """(kind, host, score): the seeds' mass summed over all paths of up to ``rounds`` links, damped per link.
 
-    ``links`` has source, target and links; kind ``trust`` follows them, ``distrust`` goes back.
+    ``links`` has source, target and links; kind ``trust`` follows them, ``distrust`` goes back. Without
+    ``rounds`` paths of any length count, until what is missing of either kind is under ``TOLERANCE``.
     """
+    if rounds is None and not 0 <= damping < 1:
+        raise ValueError("without a damping below 1 the walk does not end")
     onward = links.select(F.lit("trust").alias("kind"), "source", "target", "links")
     back = links.select(F.lit("distrust").alias("kind"), F.col("target").alias("source"), F.col("source").alias("target"), "links")
     steps = onward.union(back)
@@ -73,18 +80,28 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float, rounds: int) -
     steps = written(steps.join(out, ["kind", "source"]).select(
         "kind", F.col("source").alias("host"), "target", (F.col("links") / F.col("out")).alias("share")), "steps")
     terms = [written(seeds, "seeds")]
-    wave = terms[0]
-    for number in range(1, rounds + 1):
+    wave, number = terms[0], 0
+    while rounds is None or number < rounds:
+        number += 1
         wave = (wave.join(steps, ["kind", "host"])
                 .groupBy("kind", F.col("target").alias("host"))
                 .agg((F.lit(damping) * F.sum(F.col("score") * F.col("share"))).alias("score")))
         if number % ROUNDS_A_WRITE == 0:
             wave = written(wave, "wave")
         terms.append(wave)
+        if number % ROUNDS_A_WRITE == 0 and rounds is None:
+            mass = wave.groupBy("kind").agg(F.sum("score").alias("mass")).agg(F.max("mass")).first()[0] or 0.0
+            if mass * damping / (1 - damping) < TOLERANCE:
+                break
+            terms = [written(_summed(terms), "scores")]  # so that the plan does not grow with the rounds
+    return _summed(terms)
+
+
+def _summed(terms: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, terms).groupBy("kind", "host").agg(F.sum("score").alias("score"))
 
 
-def judge(pages: DataFrame, rules: list[Rule], damping: float = DAMPING, rounds: int = ROUNDS, threshold: float = THRESHOLD,
+def judge(pages: DataFrame, rules: list[Rule], damping: float = DAMPING, rounds: int | None = None, threshold: float = THRESHOLD,
           page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Per row: page_id, host, path, rule, verdict."""
     address = text_of(url)

@@ -62,6 +62,28 @@ def test_trust_follows_links_and_distrust_goes_back(spark, table):  # noqa: F811
     assert verdicts["farm.org"] == "block" and verdicts["lonely.org"] == "allow"
 
 
+def test_distrust_goes_back_any_number_of_links(table):  # noqa: F811
+    rows = [(k, "http://bad.net/es/", None) for k in range(100)]
+    rows += [(100 + k, f"http://h{k}.org/", f"<a href='//{f'h{k - 1}.org' if k else 'bad.net'}'>") for k in range(40)]
+    verdicts = {r[0]: r[4] for r in judged(table(rows, SCHEMA)) if r[0] >= 100}
+    assert verdicts == {100 + k: "block" if 100 * 0.85 ** (k + 1) > 0.5 else "allow" for k in range(40)}
+    assert verdicts[100 + 20] == "block" and verdicts[139] == "allow"
+
+
+def test_what_a_cycle_of_links_gathers(spark, table):  # noqa: F811
+    links = {("a.org", "bad.net"): 1, ("a.org", "b.org"): 1, ("b.org", "a.org"): 1}
+    scores = urls.propagate(
+        spark.createDataFrame([("distrust", "bad.net", 1.0)], "kind string, host string, score double"),
+        spark.createDataFrame([(*k, n) for k, n in links.items()], "source string, target string, links long"), 0.85, None)
+    told = {r.host: r.score for r in scores.collect()}
+    limit = propagated({(b, a): n for (a, b), n in links.items()}, {"bad.net": 1.0}, 500)
+    assert told.keys() == limit.keys() and all(0 <= limit[h] - told[h] < urls.TOLERANCE for h in limit)
+
+    rows = [(1, "http://bad.net/es/", None), (2, "http://a.org/", "<a href='//bad.net'><a href='//b.org'>"), (3, "http://b.org/", "<a href='//a.org'>")]
+    rows += [(10 + k, "http://a.org/more", None) for k in range(5)]  # six pages: 3.06 in the end is more than 3, 2.63 after 12 links is not
+    assert {r[4] for r in judged(table(rows, SCHEMA)) if r[1] == "a.org"} == {"block"}
+
+
 def test_empty_and_no_python(spark, table):  # noqa: F811
     assert judged(table([], SCHEMA)) == []
     plan = QUERIES["op2_url_filters"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
