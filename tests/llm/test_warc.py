@@ -2,6 +2,7 @@ import base64
 import hashlib
 
 import zstandard
+from pyspark.sql import functions as F
 
 from callops.llm import warc
 from llm_samples import FOLDER, ODD, table  # noqa: F401
@@ -59,6 +60,17 @@ def test_many_bundles(table, monkeypatch):  # noqa: F811
     assert manifest.count() >= 2 and index.count() == len(cases())
 
 
+def test_bundles_are_read_by_different_tasks(table):  # noqa: F811
+    index = warc.write(table(cases(), SCHEMA))[1]
+    for _ in range(3):
+        index = index.union(warc.write(table(cases(), SCHEMA))[1])
+    manifest = index.groupBy("bundle").agg(F.count(F.lit(1)).alias("records"))
+    bundles = manifest.count()
+    assert bundles >= 4
+    tasks = warc.read(manifest).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) == bundles and sum(r["count"] for r in tasks) == 4 * len(cases())
+
+
 def test_empty(table):  # noqa: F811
     manifest, index = warc.write(table([], SCHEMA))
     assert manifest.collect() == index.collect() == [] and warc.read(manifest).collect() == []
