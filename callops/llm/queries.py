@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from callops.llm import bpe, embeddings, exact, langid, mixing, quality, secret_scan, simhash, urls, warc
+from callops.llm import bpe, embeddings, exact, langid, mixing, packing, quality, repair, secret_scan, simhash, trie, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,6 +16,8 @@ ORACLES: dict[str, str] = {}
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MIX_WEIGHTS, MIX_SHARE, MIX_REPEATS = (3, 1, 2), 1.5, 2
 SIMHASH_WORDS, SIMHASH_BITS = 4, 4
+PACKING_TOKENIZER, SEQUENCE_TOKENS, END_ID = "byte_bpe_50k.json", 1024, 2
+FAMILY, SHARED_TURNS = 20, 4
 
 
 def query(table: str, oracle: str | None = None):
@@ -190,3 +192,20 @@ def op6_embedding_dedup(vectors: DataFrame) -> DataFrame:
 @query("documents")
 def op9_quality(docs: DataFrame) -> DataFrame:
     return quality.classify(docs)
+
+
+@query("documents")
+def op11_packing(docs: DataFrame) -> DataFrame:
+    pieces = packing.pieces(docs, public_tokenizers.path(PACKING_TOKENIZER), SEQUENCE_TOKENS, END_ID)
+    told = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(told, SEQUENCE_TOKENS)
+
+
+@query("conversations")
+def op12_prefix_trie(conversations: DataFrame) -> DataFrame:
+    return trie.report(conversations, FAMILY, SHARED_TURNS)
+
+
+@query("conversations")
+def op13_repair(conversations: DataFrame) -> DataFrame:
+    return repair.report(conversations, repair.damage(conversations))
