@@ -1,4 +1,5 @@
 import hashlib
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -56,3 +57,24 @@ def test_fuse_filter_knows_its_keys():
         fuse = exact.build_fuse(keys)
         assert exact.probe_fuse(keys, *fuse).all()
         assert exact.probe_fuse(others, *fuse).mean() < 0.01
+
+
+def test_buckets_without_positives_are_not_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(exact, "FILTER_KEYS", 16)
+    schema = "digest string, rows long, best struct<chars:int,unknown:boolean,id:long>"
+    old = spark.createDataFrame([(f"{k:064x}", 1, (-k, False, k)) for k in range(400)], schema)
+    exact.build_snapshot(old, str(tmp_path / "snapshot"))
+    batch = spark.createDataFrame([(f"{k:064x}", 2, (-1, False, k)) for k in [7, 399, *range(1000, 1010)]], schema)
+    screened = exact.screen_batch(batch, str(tmp_path / "snapshot"), old.schema)
+    assert {(int(r["digest"], 16), r["known"]["best"]["id"]) for r in screened.where("known is not null").collect()} == {(7, 7), (399, 399)}
+    assert screened.count() == 12
+    plan = screened._jdf.queryExecution().optimizedPlan().toString()
+    read = {int(b) for b in re.findall(r"bucket#\d+L (?:IN|INSET|=) ?\(?([\d, ]+)", plan)[0].replace(",", " ").split()}
+    assert 0 < len(read) < 8  # of 25
+
+
+def test_bitmap_never_misses(spark):
+    rows = spark.range(3000).select(F.sha2(F.col("id").cast("string"), 256).alias("digest"), "id")
+    flagged = exact.may_repeat(rows, rows.where("id % 10 = 0").select("digest"))
+    assert flagged.count() == 3000 and flagged.where("id % 10 = 0 and not may_repeat").count() == 0
+    assert flagged.where("id % 10 <> 0 and may_repeat").count() < 500
