@@ -9,7 +9,8 @@ neighbours. The three p-values are combined by Bonferroni; within each class of
 Benjamini-Hochberg rule at level ``rate`` over all tokens of the corpus tells which are not random.
 The others are added as spans of kind ``random``, unless they touch a base span or lie in one of their kind.
 
-All of it is built-in functions. Ranks of p-values come from a histogram per length class with at
+All of it is built-in functions: the tokens of a document are rows, with one expression for every
+encoding's statistics. Ranks of p-values come from a histogram per length class with at
 most ``BINS`` bins, p-values rounded up to a bin's edge, of which the
 driver receives one number.
 
@@ -128,44 +129,41 @@ def _upper_tail(z: Column) -> Column:
     return F.when(z >= 0, tail).otherwise(1.0 - tail)
 
 
-def _p_value(values: Column, size: int) -> Column:
-    """Combined p-value of the battery for characters' values 0 .. size - 1."""
-    k = float(size)
-    n = F.size(values).cast("double")
-    mean, variance = (k - 1) / 2, (k * k - 1) / 12
-    counts = F.transform(F.array_distinct(values), lambda c: F.size(F.filter(values, lambda v: v == c)).cast("double"))
-    chi = _sum(F.transform(counts, lambda c: c * c), "double") * k / n - n
-    df = k - 1
-    uniform = _upper_tail((F.pow(chi / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / (2 / (9 * df)) ** 0.5)
-
-    pairs = F.zip_with(F.slice(values, F.lit(1), F.size(values) - 1), F.slice(values, F.lit(2), F.size(values) - 1),
-                       lambda a, b: F.struct(((a - mean) * (b - mean)).alias("product"), ((a < k / 2) != (b < k / 2)).alias("turn")))
-
-    def with_pairs(p: Column) -> Column:
-        correlation = _sum(F.transform(p, lambda x: x["product"]), "double") / (F.sqrt(n - 1) * variance)
-        serial = 2 * _upper_tail(F.abs(correlation))
-
-        def with_high(high: Column) -> Column:
-            runs = F.size(F.filter(p, lambda x: x["turn"])) + 1.0
-            expected = 2 * high * (n - high) / n + 1
-            spread = F.sqrt((expected - 1) * (expected - 2) / (n - 1))
-            # all on one side: as unlikely as so many equal throws of a coin
-            return F.when(spread > 0, 2 * _upper_tail(F.abs(runs - expected) / F.when(spread > 0, spread))).otherwise(F.pow(F.lit(2.0), 1 - n))
-
-        runs_test = _let(F.size(F.filter(values, lambda v: v >= k / 2)).cast("double"), with_high)
-        return F.least(F.lit(1.0), 3 * F.least(uniform, serial, runs_test))
-
-    return _let(pairs, with_pairs)
-
-
-def _bin(token: Column) -> Column:
-    """The bin of a token's p-value, null where no encoding fits."""
-    p = F.lit(None).cast("double")
-    for pattern, alphabet in reversed(ENCODINGS):
-        valued = token if "-" in alphabet else F.translate(token, "-", "")
-        characters = F.filter(F.split(valued, ""), lambda c: c != "")
-        values = F.transform(characters, lambda c: F.call_function("instr", F.lit(alphabet), c) - 1)
-        p = F.when(token.rlike(pattern), _let(values, lambda v: _p_value(v, len(alphabet)))).otherwise(p)
+def p_values(tokens: DataFrame) -> DataFrame:
+    """``tokens`` with ``p``, the combined p-value of the battery for the characters of ``found``; others in no encoding go."""
+    alphabet = F.lit(None).cast("string")
+    for pattern, letters in reversed(ENCODINGS):
+        alphabet = F.when(F.col("found").rlike(pattern), letters).otherwise(alphabet)
+    valued = F.when(F.contains("alphabet", F.lit("-")), F.col("found")).otherwise(F.translate("found", "-", ""))
+    values = F.transform(F.filter(F.split(valued, ""), lambda c: c != ""), lambda c: F.call_function("instr", F.col("alphabet"), c) - 1)
+    v, n, k, mean = F.col("values"), F.col("n"), F.col("k"), F.col("mean")
+    told = (tokens.withColumn("alphabet", alphabet).where("alphabet is not null").withColumn("values", values)
+            .withColumn("n", F.size("values").cast("double")).withColumn("k", F.length("alphabet").cast("double"))
+            .withColumn("mean", (k - 1) / 2))
+
+    # one value's share of the alphabet: the Wilson-Hilferty approximation of chi-squared
+    counts = F.transform(F.array_distinct(v), lambda c: F.size(F.filter(v, lambda x: x == c)).cast("double"))
+    chi, df = _sum(F.transform(counts, lambda c: c * c), "double") * k / n - n, k - 1
+    uniform = _upper_tail((F.pow(chi / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df)))
+    # neighbours: products of distances from the mean, changes between the halves of the alphabet
+    pairs = F.zip_with(F.slice(v, F.lit(1), F.size(v) - 1), F.slice(v, F.lit(2), F.size(v) - 1), lambda a, b: F.struct(
+        ((a - mean) * (b - mean)).alias("product"), ((a < k / 2) != (b < k / 2)).alias("turn")))
+    told = told.withColumn("uniform", uniform).withColumn("pairs", pairs)
+    correlation = _sum(F.col("pairs.product"), "double") / (F.sqrt(n - 1) * ((k * k - 1) / 12))
+    told = (told.withColumn("serial", 2 * _upper_tail(F.abs(correlation)))
+            .withColumn("runs", F.size(F.filter(F.col("pairs.turn"), lambda x: x)) + 1.0)
+            .withColumn("high", F.size(F.filter(v, lambda x: x >= k / 2)).cast("double"))
+            .withColumn("expected", 2 * F.col("high") * (n - F.col("high")) / n + 1))
+    expected = F.col("expected")
+    told = told.withColumn("spread", F.sqrt((expected - 1) * (expected - 2) / (n - 1)))
+    # all on one side: as unlikely as so many equal throws of a coin
+    runs = F.when(F.col("spread") > 0, 2 * _upper_tail(F.abs(F.col("runs") - expected) / F.when(F.col("spread") > 0, F.col("spread")))).otherwise(
+        F.pow(F.lit(2.0), 1 - n))
+    p = F.least(F.lit(1.0), 3 * F.least("uniform", "serial", runs))
+    return told.select(*tokens.columns, p.alias("p"))
+
+
+def _bin(p: Column) -> Column:
     return F.least(F.lit(BINS), F.floor(-100 * F.log10(F.greatest(p, F.lit(1e-300))))).cast("int")
 
 
@@ -173,23 +171,20 @@ def _tokens(text: Column) -> Column:
     """(start, end, found) of the runs and of their pieces, each once, in order."""
 
     def pieces(run: Column) -> Column:
-        ways = []
-        for cut in CUTS:
-            kept = "A-Za-z0-9" + "".join(c for c in "+/_-" if c not in cut)
-            ways.append(_matches(run["found"], f"(?<![{kept}])[{kept}]{{20,}}", 0))
-        whole = F.struct(run["start"].alias("start"), run["end"].alias("end"), run["found"].alias("found"))
-        inside = F.transform(F.concat(*ways), lambda s: F.struct(
-            (run["start"] + s["start"]).alias("start"), (run["start"] + s["end"]).alias("end"), s["found"].alias("found")))
-        return F.when(run["found"].rlike("[+/_-]"), F.concat(F.array(whole), inside)).otherwise(F.array(whole))
+        def after(cut: Column) -> Column:
+            def located(parts: Column) -> Column:
+                steps = F.transform(parts, lambda _, i: F.when(i > 0, F.length(parts[i - 1]) + 1).otherwise(0).cast("long"))
+                return _let(_let(steps, _starts), lambda starts: F.transform(parts, lambda m, i: F.struct(
+                    (run["start"] + starts[i]).alias("start"), (run["start"] + starts[i] + F.length(m)).alias("end"), m.alias("found"))))
 
-    def once(found: Column) -> Column:
-        def new(s: Column, i: Column) -> Column:
-            before = found[F.greatest(i - 1, F.lit(0))]
-            return (i == 0) | (s["start"] != before["start"]) | (s["end"] != before["end"])
+            # a run has no blanks, so they may stand for what it is cut at
+            parts = F.split(F.call_function("translate", run["found"], cut, F.lit(" " * 4)), " ", -1)
+            return F.filter(_let(parts, located), lambda s: F.length(s["found"]) >= 20)
 
-        return F.filter(found, new)
+        cuts = F.array(*map(F.lit, ("", *CUTS)))
+        return F.flatten(F.transform(F.when(run["found"].rlike("[+/_-]"), cuts).otherwise(F.array(F.lit(""))), after))
 
-    return _let(F.sort_array(F.flatten(F.transform(_matches(text, TOKEN, 0), pieces))), once)
+    return F.sort_array(F.array_distinct(F.flatten(F.transform(_matches(text, TOKEN, 0), pieces))))
 
 
 def _mixed(token: Column) -> Column:
@@ -197,14 +192,6 @@ def _mixed(token: Column) -> Column:
     return token.rlike("[0-9]") | (token.rlike("[a-z]") & token.rlike("[A-Z]"))
 
 
-def candidates(text: Column) -> Column:
-    """(start, end, length class, bin) of the tokens in an encoding."""
-    tokens = F.transform(F.filter(_tokens(text), lambda s: _mixed(s["found"])), lambda s: F.struct(
-        s["start"].alias("start"), s["end"].alias("end"),
-        F.floor(F.log2((s["end"] - s["start"]).cast("double"))).cast("int").alias("class"), _bin(s["found"]).alias("bin")))
-    return F.filter(tokens, lambda s: s["bin"].isNotNull())
-
-
 def not_random(tokens: DataFrame, rate: float) -> dict[int, int]:
     """Length class → least bin whose tokens are not random, by the Benjamini-Hochberg rule per class.
 
@@ -240,20 +227,23 @@ def _joined(spans: Column) -> Column:
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rate: float = RATE) -> DataFrame:
     """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
     whole = text_of(text)
-    found = written(docs.select(F.col(doc_id).alias("doc_id"), base_spans(whole).alias("base"),
-                                candidates(whole).alias("tokens")), "spans")
-    limits = not_random(found.where(F.size("tokens") > 0).select(F.inline("tokens")), rate)
+    found = written(docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), base_spans(whole).alias("base"),
+                                F.filter(_tokens(whole), lambda s: _mixed(s["found"])).alias("tokens")), "spans")
+    length = (F.col("end") - F.col("start")).cast("double")
+    tested = written(p_values(found.select("row", F.inline("tokens"))).select(
+        "row", "start", "end", F.floor(F.log2(length)).cast("int").alias("class"), _bin(F.col("p")).alias("bin")), "tested")
+    limits = not_random(tested.select("class", "bin"), rate)
     table = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]) if limits else F.lit(None).cast("map<int,int>")
-
-    def random(s: Column) -> Column:
-        return s["bin"] < F.coalesce(table[s["class"]], F.lit(BINS + 1))
+    random = tested.where(F.col("bin") < F.coalesce(table[F.col("class")], F.lit(BINS + 1))).groupBy("row").agg(
+        F.collect_list(F.struct("start", F.lit(len(KINDS)).alias("kind"), "end")).alias("random"))  # of one document
 
     def apart(s: Column) -> Column:
         return ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
 
-    added = F.transform(F.filter("tokens", lambda s: random(s) & apart(s)), lambda s: F.struct(
-        s["start"].alias("start"), F.lit(len(KINDS)).alias("kind"), s["end"].alias("end")))
+    nothing = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
+    told = found.select("row", "doc_id", "base").join(random, "row", "left").withColumn(
+        "added", F.filter(F.coalesce("random", nothing), apart))
     counts = [F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long").alias(f"n_{kind}")
               for number, (kind, *_) in enumerate(KINDS)]
-    return found.select("doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
-                        _joined(F.sort_array(F.concat("base", _outermost(added)))).alias("spans"))
+    return told.select("doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
+                       _joined(F.sort_array(F.concat("base", _outermost(F.col("added"))))).alias("spans"))

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from statistics import NormalDist
 
 from pyspark.sql import functions as F
 
@@ -114,3 +115,35 @@ def test_empty(table):  # noqa: F811
 def test_plan_has_no_python(spark):
     plan = QUERIES["op10_secrets"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def battery(token):
+    """The battery again, character by character, with the normal distribution of the standard library."""
+    for pattern, alphabet in secret_scan.ENCODINGS:
+        if re.match(pattern, token):
+            break
+    else:
+        return None
+    values = [alphabet.index(c) for c in token if c in alphabet]
+    n, k, tail = len(values), len(alphabet), NormalDist().cdf
+    chi = sum((values.count(x) - n / k) ** 2 for x in range(k)) / (n / k)
+    uniform = 1 - tail(((chi / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / (2 / (9 * (k - 1))) ** 0.5)
+    mean, variance = sum(range(k)) / k, sum((x - sum(range(k)) / k) ** 2 for x in range(k)) / k
+    z = sum((a - mean) * (b - mean) for a, b in zip(values, values[1:])) / variance / (n - 1) ** 0.5
+    serial = 2 * (1 - tail(abs(z)))
+    sides = [x >= k / 2 for x in values]
+    high, runs = sum(sides), 1 + sum(a != b for a, b in zip(sides, sides[1:]))
+    expected = 2 * high * (n - high) / n + 1
+    spread = (expected - 1) * (expected - 2) / (n - 1)
+    turns = 2 * (1 - tail(abs(runs - expected) / spread ** 0.5)) if spread > 0 else 2.0 ** (1 - n)
+    return min(1.0, 3 * min(uniform, serial, turns))
+
+
+def test_battery_against_an_independent_one(spark):
+    random.seed(8)
+    tokens = ["".join(random.choice(alphabet) for _ in range(random.choice((20, 24, 33, 64, 200)))) for _, alphabet in secret_scan.ENCODINGS for _ in range(25)]
+    tokens += ["a1" * 12, "a" * 19 + "1", "1" * 30, "AAAAAAAAAABBBBBBBBBB22", "Ab1" + "ab" * 20, "0123456789abcdef" * 3, "some_name-of-1-thing_x", "Z" * 22 + "9"]
+    found = {r["found"]: r["p"] for r in secret_scan.p_values(spark.createDataFrame([(t,) for t in tokens], "found string")).collect()}
+    assert set(found) == {t for t in tokens if battery(t) is not None}
+    for token, p in found.items():
+        assert abs(p - battery(token)) < 5e-6, token
