@@ -19,11 +19,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from callops.llm.common import batches_of, map_arrow, text_of
+from callops.llm.common import batches_of, freed, map_arrow, text_of
 
 #: Bounds of what one Python worker holds at a time.
 SLICE_WORDS = 300_000
-SLICE_TOKENS = 500_000
+SLICE_TOKENS = 100_000
 MERGE_WORDS = 30_000
 CACHE_WORDS = 200_000
 #: Words beyond this many bytes keep one list of tokens instead of a row per token and step.
@@ -119,7 +119,7 @@ class _Duck:
     def __init__(self, duck=None):
         import duckdb
 
-        self.duck = duck or duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
+        self.duck = duck or duckdb.connect(config={"threads": 1, "memory_limit": "100MB"})
 
     def _query(self, sql: str, name: str, **columns) -> pa.Table:
         self.duck.register(name, pa.table(columns))
@@ -280,7 +280,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, keep: list[str] = ["d
         import regex
 
         compiled, merger = regex.compile(pattern), Merger.of(shared.value)
-        for batch in batches:
+        for batch in freed(batches):
             for kept, texts in _parts(batch):
                 yield pa.RecordBatch.from_arrays([*kept, _encode_texts(texts, compiled, merger)], [*keep, "ids"])
 
@@ -294,7 +294,7 @@ def decode(tokens: DataFrame, vocabulary: str, keep: list[str], ids: str = "ids"
 
     def run(batches):
         decoder = Decoder.of(shared.value)
-        for batch in batches:
+        for batch in freed(batches):
             sizes = pc.list_value_length(batch.column(batch.num_columns - 1)).to_pylist()
             for start, end in batches_of(sizes, SLICE_TOKENS):
                 part = batch.slice(start, end - start)
@@ -314,7 +314,7 @@ def round_trip(docs: DataFrame, vocabulary: str, pattern: str, keep: list[str] =
 
         compiled, merger = regex.compile(pattern), Merger.of(shared.value)
         decoder = Decoder.of(shared.value, merger.duck)
-        for batch in batches:
+        for batch in freed(batches):
             for kept, texts in _parts(batch):
                 ids = _encode_texts(texts, compiled, merger)
                 yield pa.RecordBatch.from_arrays([*kept, ids, decoder.texts(ids)], [*keep, "ids", "decoded"])

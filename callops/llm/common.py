@@ -53,14 +53,33 @@ def importable(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, paths]))
 
 
+def free_memory() -> None:
+    """Give memory that is not in use back to the system: a Python worker lives on after its task."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def freed(batches):
+    """The batches, with the memory of one and its results given back before the next."""
+    for batch in batches:
+        yield batch
+        del batch
+        free_memory()
+
+
 def map_arrow(df: DataFrame, run, schema) -> DataFrame:
     """``df.mapInArrow`` with a function of this package."""
     importable(df.sparkSession)
 
     def lean(batches):
-        import pyarrow as pa
-
         yield from run(batches)
-        pa.default_memory_pool().release_unused()  # the worker stays for the next task
+        free_memory()
 
     return df.mapInArrow(lean, schema)

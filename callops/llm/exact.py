@@ -19,10 +19,9 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from callops.llm.common import WHITE, importable, text_of, work_dir, written
+from callops.llm.common import WHITE, free_memory, importable, text_of, work_dir, written
 
 #: Digests per filter; the number of filters grows with the snapshot.
 FILTER_KEYS = 32_768
@@ -101,7 +100,7 @@ def filters(digests: DataFrame, buckets: int) -> DataFrame:
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         seed, length, segments, table = build_fuse(group["key"].to_numpy())
-        pa.default_memory_pool().release_unused()  # the worker stays for the next task
+        free_memory()
         return pd.DataFrame({"bucket": [group["bucket"].iloc[0]], "buckets": [buckets], "seed": [seed], "length": [length],
                              "segments": [segments], "fingerprints": [table]})
 
@@ -117,7 +116,7 @@ def screen(digests: DataFrame, filter_table: DataFrame, buckets: int) -> DataFra
         if len(filter_) and len(group):
             f = filter_.iloc[0]
             known = probe_fuse(group["key"].to_numpy(), f["seed"], f["length"], f["segments"], f["fingerprints"])
-        pa.default_memory_pool().release_unused()
+        free_memory()
         return pd.DataFrame({"digest": group["digest"], "bucket": group["bucket"], "positive": known})
 
     given = _bucketed(digests.select("digest"), buckets)
