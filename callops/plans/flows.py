@@ -6,10 +6,11 @@ date. A load works on all its dates at once; nothing loops over days or rows on
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from callops import schema
 from callops.functions import dates as dt
@@ -17,7 +18,7 @@ from callops.operators import checks, gates
 from callops.operators.windows import quartile_category
 from callops.plans import adherence, calls, cleaning, csat, interval, people, productivity, quality, shrinkage
 from callops.sinks import writers
-from callops.sources import envelope, tables
+from callops.sources import envelope, large, tables
 
 
 @dataclass(frozen=True)
@@ -60,10 +61,23 @@ class Run:
     def keep(self, name: str, decisions: DataFrame) -> DataFrame:
         return writers.store_decisions(decisions, f"{self.path('audit', 'decisions')}/{name}/run={self.run_id}")
 
-    def valid(self, name: str, rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
-        """Rows that pass; the others go to quarantine with their reasons."""
+    def set_aside(self, name: str) -> DataFrame:
+        """Dates (as text) of which the table has rows in quarantine, with the number of rows."""
+        path = self.path("quarantine", name)
+        held = tables.read_table(self.spark, path, like=T.StructType([T.StructField(writers.ASIDE, T.StringType())]))
+        return held.groupBy(writers.ASIDE).agg(F.count(F.lit(1)).alias("rows"))
+
+    def valid(self, name: str, rows: DataFrame, rules: dict[str, Column], dates: list[str] | None = None) -> DataFrame:
+        """Rows that pass; the others go to quarantine with their reasons.
+
+        ``dates`` are those that ``rows`` hold, by default all. The rows of a date replace what quarantine
+        has of it, so a load may run any number of times, and a repaired row leaves quarantine.
+        """
         good, bad = checks.split_valid(rows, rules)
-        writers.quarantine(bad, self.path("quarantine", name), self.run_id)
+        known = self.set_aside(name)
+        if dates is not None:
+            known = known.where(F.col(writers.ASIDE).isin(dates))
+        writers.set_aside(bad.withColumn(writers.ASIDE, _date_text(bad)), self.path("quarantine", name), known)
         return good
 
 
@@ -78,23 +92,33 @@ FEEDS: dict[str, Callable[[DataFrame], DataFrame]] = {
 FEED_PREFIXES = {"agent_info_ldb": "agent", "daily_exportcall_ldb": "export", "csat_ldb": "csat"}
 
 
-def land_feed(run: Run, table: str, envelopes: DataFrame, at: str) -> None:
-    """Replace the dates the envelopes are for, and record declared against stored rows."""
+def land_feed(run: Run, table: str, envelopes: DataFrame, at: str, messages: DataFrame | None = None) -> None:
+    """Replace the dates the envelopes are for, and record declared against stored rows.
+
+    ``messages`` comes beside ``envelopes`` that are cut into rows already.
+    """
     path = run.path("landing", table)
-    declared = envelope.declared_rows(envelopes)
+    declared = envelope.declared_rows(envelopes if messages is None else messages)
     writers.replace_dates(FEEDS[table](envelopes), path, cover=declared.select("date").distinct())
     stored = tables.read_dates(run.spark, path, declared)
     audit = checks.audit_rows(stored, declared, table, "landing_db", at)
     writers.append_audit(audit, run.path("landing", "status_ldb"))
 
 
-def land_feeds(run: Run, incoming: str, at: str) -> None:
-    """All feeds of the report days, from ``incoming/<table>/date=…`` folders."""
+def land_feeds(run: Run, incoming: str, at: str, split_files: bool = False) -> None:
+    """All feeds of the report days, from ``incoming/<table>/date=…`` folders.
+
+    With ``split_files`` an envelope file is read by many tasks.
+    """
     for table in FEEDS:
         folder = f"{incoming}/{table}"
         if tables.exists(run.spark, folder):
-            envelopes = envelope.read_envelopes(run.spark, folder)
-            land_feed(run, table, envelopes.join(run.days(), "date", "left_semi"), at)
+            if split_files:
+                rows, messages = large.read_large(run.spark, folder, dates=run.days())
+                land_feed(run, table, rows, at, messages)
+            else:
+                envelopes = envelope.read_envelopes(run.spark, folder)
+                land_feed(run, table, envelopes.join(run.days(), "date", "left_semi"), at)
 
 
 def reconciliation_summary(run: Run, day: str | None = None) -> DataFrame:
@@ -106,11 +130,49 @@ def _dated(c: str = "date") -> dict[str, Column]:
     return {f"{c} unreadable": dt.lenient_date(F.col(c).cast("string")).isNotNull()}
 
 
+#: Quarantine keeps rows by date; those whose date cannot be read stand under this word.
+UNREADABLE = "unreadable"
+
+
+def _date_text(rows: DataFrame) -> Column:
+    """The date of a landed row as text."""
+    if "date" not in rows.columns:
+        return F.lit(UNREADABLE)
+    return F.coalesce(dt.lenient_date(F.col("date").cast("string")).cast("string"), F.lit(UNREADABLE))
+
+
+def _of_dates(rows: DataFrame, dates: list[str]) -> DataFrame:
+    """Landed rows of the given dates; where the date is one, other folders or row groups are not read."""
+    if dict(rows.dtypes)["date"] != "date":
+        return rows.where(_date_text(rows).isin(dates))
+    on = F.col("date").isin([datetime.date.fromisoformat(d) for d in dates if d != UNREADABLE])
+    return rows.where(on | F.col("date").isNull() if UNREADABLE in dates else on)
+
+
+def _decided(run: Run, table: str, target: str, gate: Callable, clean: Callable, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """What a gate says about the landed rows that pass the rules, and the clean rows of the dates to load.
+
+    The gate reads the date column alone. Only of dates with rows in quarantine are whole rows read for
+    it, as there the rows that pass are fewer than those that landed. The lists of dates that are
+    collected have one entry per date of the calendar.
+    """
+    landed = run.landing(table)
+    aside = [r[0] for r in run.set_aside(table).select(writers.ASIDE).collect()]
+    day = dt.lenient_date(F.col("date").cast("string")).alias("date")
+    plain = landed.where(~_date_text(landed).isin([*aside, UNREADABLE])).select(day)
+    checked, _ = checks.split_valid(_of_dates(landed, [d for d in aside if d != UNREADABLE]), rules)
+    decided = run.decide(target, gate, plain.unionByName(checked.select(day)), run.path("staging", target))
+
+    loaded = [str(r[0]) for r in decided.where("action in ('reload', 'insert')").select("date").collect()]
+    unreadable = [] if landed.where(_date_text(landed) == UNREADABLE).isEmpty() else [UNREADABLE]
+    dates = list({*loaded, *aside, *unreadable})
+    return decided, clean(run.valid(table, _of_dates(landed, dates), rules, dates))
+
+
 def _stage_dates(run: Run, table: str, target: str, gate: Callable, clean: Callable,
                  rules: dict[str, Column] | None = None) -> None:
-    rows = clean(run.valid(table, run.landing(table), _dated() | (rules or {})))
-    path = run.path("staging", target)
-    writers.apply_decisions(rows, run.decide(target, gate, rows, path), path)
+    decided, rows = _decided(run, table, target, gate, clean, _dated() | (rules or {}))
+    writers.apply_decisions(rows, decided, run.path("staging", target), cover=True)
 
 
 def _stage_new_rows(run: Run, table: str, target: str, clean: Callable, rules: dict[str, Column],
@@ -167,9 +229,8 @@ def stage_quality(run: Run) -> None:
 
 def stage_knowledge(run: Run) -> None:
     """Full history, and a copy of the newest reloaded date."""
-    rows = cleaning.clean_knowledge(run.valid("datawisepkt", run.landing("datawisepkt"), _dated()))
     path = run.path("staging", "datawisepkt_sdb")
-    decided = run.decide("datawisepkt_sdb", gates.count_diff_list, rows, path)
+    decided, rows = _decided(run, "datawisepkt", "datawisepkt_sdb", gates.count_diff_list, cleaning.clean_knowledge, _dated())
     writers.purge_dates(run.spark, path, decided.where("action = 'purge'"))
     reload = decided.where("action = 'reload'")
     if not reload.isEmpty():

@@ -37,9 +37,11 @@ def purge_dates(spark: SparkSession, path: str, dates: DataFrame, partition: str
 
 
 def apply_decisions(rows: DataFrame, decisions: DataFrame, path: str, clean=None,
-                    partition: str = "date") -> None:
+                    partition: str = "date", cover: bool = False) -> None:
     """Carry out a gate's decisions: replace ``reload``/``insert`` dates, remove ``purge`` dates.
 
+    With ``cover`` a date to reload may turn out to have no row left; it is cleared.
+
     ``decisions`` must be stored (see :func:`store_decisions`): a lazy gate would be asked again
     after the target has changed. Vanished dates go first, so a crash in between leaves only dates
     that the next run still sees as different.
@@ -48,6 +50,10 @@ def apply_decisions(rows: DataFrame, decisions: DataFrame, path: str, clean=None
     purge_dates(spark, path, decisions.where("action = 'purge'"), partition)
     load = decisions.where("action in ('reload', 'insert')").select(F.col("date").alias(partition))
     chosen = rows.join(load, partition, "left_semi")
+    if cover:
+        held = decisions.where("action = 'reload' and target_rows > 0").select("date")
+        empty = held.join(chosen.select(F.col(partition).alias("date")).distinct(), "date", "left_anti")
+        purge_dates(spark, path, empty, partition)
     replace_dates(clean(chosen) if clean else chosen, path, partition)
 
 
@@ -94,5 +100,14 @@ def quarantine(bad: DataFrame, path: str, run: str) -> None:
     replace_dates(bad.withColumn("run", F.lit(run)), path, "run")
 
 
+#: The folder column of rows set aside: their date as text.
+ASIDE = "aside_date"
+
+
+def set_aside(bad: DataFrame, path: str, known: DataFrame) -> None:
+    """Keep rejected rows by date; of the dates in ``known`` (``ASIDE``) nothing else stays."""
+    replace_dates(bad, path, ASIDE, cover=known.select(F.col(ASIDE).alias("date")))
+
+
 def append_audit(audit: DataFrame, path: str) -> None:
     audit.write.mode("append").parquet(path)

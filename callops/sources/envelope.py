@@ -14,8 +14,9 @@ ENVELOPE = "message string, data array<string>"
 def read_envelopes(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
     """Envelope files under ``path``; a ``date=…`` folder becomes the load date.
 
-    A pretty-printed envelope is read by one task, so throughput comes from many files; feeds that
-    write one envelope per line are split within files too.
+    A pretty-printed envelope is read by one task, so throughput comes from many files (for large ones
+    see :func:`callops.sources.large.read_large`); feeds that write one envelope per line are split within
+    files too.
     """
     reader = spark.read.schema(ENVELOPE).option("basePath", path)
     envelopes = reader.option("multiLine", not one_per_line).json(path)
@@ -36,8 +37,10 @@ def declared_rows(envelopes: DataFrame) -> DataFrame:
 
 
 def raw_rows(envelopes: DataFrame) -> DataFrame:
-    """One row per object, still JSON text (``raw``)."""
-    carried = [c for c in envelopes.columns if c not in ("message", "data")]
+    """One row per object, still JSON text (``raw``); rows that are cut already are taken as they are."""
+    if "raw" in envelopes.columns:
+        return envelopes
+    carried = [c for c in envelopes.columns if c not in ("message", "data", "raw")]
     # the outer form keeps the optimizer from parsing the list again just to test that it is not empty
     return envelopes.select(*carried, F.explode_outer("data").alias("raw")).where("raw is not null")
 
@@ -62,7 +65,7 @@ def frozen(envelopes: DataFrame, columns: list[str]) -> DataFrame:
     Unknown keys drop out, absent ones are NULL.
     """
     rows = _with_keys(raw_rows(envelopes), F.col("raw"), "_k", "_v")
-    carried = [c for c in envelopes.columns if c not in ("message", "data")]
+    carried = [c for c in envelopes.columns if c not in ("message", "data", "raw")]
     return rows.select(*carried, *[_value("_k", "_v", c).alias(c) for c in columns])
 
 
@@ -82,7 +85,7 @@ def agent_feed(envelopes: DataFrame) -> DataFrame:
         mine = F.when(F.size("_k") > 0, F.lit("0")) if c == "breaks" else F.col(f"_own.{c}")
         return F.when(F.array_contains("_k", F.lit(c)), _value("_k", "_v", c)).otherwise(mine).alias(c)
 
-    carried = [c for c in envelopes.columns if c not in ("message", "data")]
+    carried = [c for c in envelopes.columns if c not in ("message", "data", "raw")]
     merged = rows.select(*carried, *[value(c) for c in columns])
     return merged.withColumns({c: normalise_duration(F.col(c)) for c in schema.AGENT_LANDING_DURATIONS})
 
