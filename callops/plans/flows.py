@@ -386,7 +386,7 @@ def report_csat_scores(run: Run) -> None:
     source = scores.withColumnRenamed("date", "csat_date")
     decided = run.decide("csat_score_daily", gates.insert_if_absent, source, path, date="csat_date")
     report = csat.csat_score_daily(_on(scores, decided), _on(ftr, decided))
-    writers.replace_dates(report, path, partition="csat_date")
+    writers.replace_dates(report, path, partition="csat_date", counts=decided)
 
 
 def report_quality(run: Run) -> None:
@@ -398,7 +398,7 @@ def report_quality(run: Run) -> None:
         _on(audits, reload), run.staging("datawisepkt_sdb"), run.staging("tni_efficacy_sdb"),
         run.staging("bq_refresher_sdb"), _employees(run))
     writers.purge_dates(run.spark, path, decided.where("action = 'purge'"))
-    writers.replace_dates(report, path)
+    writers.replace_dates(report, path, counts=decided)
 
 
 def report_categories(run: Run) -> None:

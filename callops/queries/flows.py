@@ -53,15 +53,6 @@ def _report(run: flows.Run, name: str, columns: list[str]) -> DataFrame:
 _SECONDS = ", ".join(f"{c}::double AS {c}" for c in schema.AGENT_DURATIONS)
 
 
-# Tables with seven years of dates are folded into one month, so that no run writes thousands of folders.
-def _day(month: int, c: str):
-    return F.make_date(F.lit(2024), F.lit(month), F.dayofmonth(c) % 28 + 1)
-
-
-def _day_sql(month: int, c: str) -> str:
-    return f"make_date(2024, {month}, (day({c}) % 28 + 1)::bigint)"
-
-
 def _upper(name: str, sql: str) -> str:
     return f"SELECT * REPLACE (upper({name}) AS {name}) FROM ({sql})"
 
@@ -78,32 +69,88 @@ def staged_agents(star: Star):
     return run.staging("agent_info_sdb").select(*schema.AGENT_STAGING)
 
 
+def _broken(star: Star, every: int) -> DataFrame:
+    """Landed calls, the talk time of one in ``every`` no number."""
+    broken = F.when(F.col("lead_id").cast("bigint") % every == 0, "n/a").otherwise(F.col("cust_talk_sec").cast("string"))
+    return _text(star.calls().withColumn("cust_talk_sec", broken))
+
+
 @query(with_views(_upper("full_name", f"SELECT {column_list(schema.EXPORT_CALL_STAGING)} FROM calls WHERE lead_id::bigint % 10 <> 0"), "calls"))
 def staged_calls(star: Star):
     """Call feed; one call in ten has a talk time that is no number and goes to quarantine."""
     run = _run(star)
-    broken = F.when(F.col("lead_id").cast("bigint") % 10 == 0, "n/a").otherwise(F.col("cust_talk_sec").cast("string"))
-    _land(run, daily_exportcall_ldb=_text(star.calls().withColumn("cust_talk_sec", broken)))
+    _land(run, daily_exportcall_ldb=_broken(star, 10))
     flows.stage_calls(run)
     return run.staging("exportcall_sdb").select(*schema.EXPORT_CALL_STAGING)
 
 
+def _aside(run: flows.Run) -> DataFrame:
+    rows = run.spark.read.parquet(run.path("quarantine", "daily_exportcall_ldb"))
+    return rows.select("lead_id", F.array_join("broken_rules", ", ").alias("reasons"))
+
+
 @query(with_views("""
     SELECT lead_id, 'cust_talk_sec unreadable' AS reasons FROM calls WHERE lead_id::bigint % 10 = 0""", "calls"))
 def quarantined_calls(star: Star):
+    """One entry per bad row, however often the load runs."""
     run = _run(star)
-    broken = F.when(F.col("lead_id").cast("bigint") % 10 == 0, "n/a").otherwise(F.col("cust_talk_sec").cast("string"))
-    _land(run, daily_exportcall_ldb=_text(star.calls().withColumn("cust_talk_sec", broken)))
-    flows.stage_calls(run)
-    aside = star.spark.read.parquet(run.path("quarantine", "daily_exportcall_ldb"))
-    return aside.select("lead_id", F.array_join("broken_rules", ", ").alias("reasons"))
+    _land(run, daily_exportcall_ldb=_broken(star, 10))
+    for number in ("first", "second", "third"):
+        flows.stage_calls(_run(star, number, run.root))
+    return _aside(run)
+
+
+@query(with_views("""
+    SELECT lead_id, CASE WHEN lead_id::bigint % 20 = 0 THEN 'cust_talk_sec unreadable' ELSE 'staged' END AS reasons FROM calls""", "calls"))
+def repaired_calls(star: Star):
+    """Half of the bad rows are sent again in order: they leave quarantine and are staged."""
+    run = _run(star)
+    for number, every in (("first", 10), ("second", 20)):
+        again = _run(star, number, run.root)
+        _land(again, daily_exportcall_ldb=_broken(star, every))
+        flows.stage_calls(again)
+    return _aside(run).unionByName(run.staging("exportcall_sdb").select("lead_id", F.lit("staged").alias("reasons")))
+
+
+def _envelope_files(star: Star, folder: str) -> None:
+    """One envelope file per date, a line per call."""
+    rows = star.call_envelopes().select("date", F.regexp_extract("body", r'"data": \[(.*)\]\}$', 1).alias("line"))
+    counts = rows.groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+    head = F.concat(F.lit('{"message": "Total '), F.col("n").cast("string"), F.lit(' rows found", "data": [null'))
+    lines = counts.select("date", F.lit(0).alias("part"), head.alias("line")).unionByName(
+        rows.select("date", F.lit(1).alias("part"), F.concat(F.lit(",  "), "line").alias("line"))).unionByName(
+        counts.select("date", F.lit(2).alias("part"), F.lit("]}").alias("line")))
+    lines.repartition("date").sortWithinPartitions("date", "part").select("date", "line").write.partitionBy("date").text(folder)
+
+
+def _landed_range(star: Star) -> flows.Run:
+    """Envelope files of the report days, read by many tasks, landed twice."""
+    run, incoming = _run(star), work_dir(star.spark, "incoming")
+    _envelope_files(star, f"{incoming}/daily_exportcall_ldb")
+    for hour in ("06", "07"):
+        flows.land_feeds(run, incoming, f"{AS_OF} {hour}:00:00", split_files=True)
+    return run
+
 
+@query(ORACLES["call_feed_landing"])
+def landed_calls(star: Star):
+    """Landing rows with the date of their folder; landing again replaces them."""
+    return _landed_range(star).landing("daily_exportcall_ldb").select("date", *schema.EXPORT_CALL_LANDING)
 
-@query(with_views(f"SELECT {column_list(schema.SURVEY_STAGING)} FROM (SELECT * REPLACE ({_day_sql(1, 'date')} AS date) FROM surveys)",
-                  "surveys"))
+
+@query(f"""
+    SELECT ts::date AS date, hour, count(*) AS json_rows, count(*) AS inserted_rows
+    FROM events, (VALUES (6), (7)) h(hour) GROUP BY 1, 2""")
+def landed_audit(star: Star):
+    """Declared against stored rows of every date and run."""
+    audit = _landed_range(star).landing("status_ldb")
+    return audit.select("date", F.hour("timestamp").alias("hour"), "json_rows", "inserted_rows")
+
+
+@query(with_views(f"SELECT {column_list(schema.SURVEY_STAGING)} FROM surveys", "surveys"))
 def staged_surveys(star: Star):
     run = _run(star)
-    _land(run, csat_ldb=star.surveys_raw().withColumn("date", _day(1, "date")))
+    _land(run, csat_ldb=star.surveys_raw())
     flows.stage_surveys(run)
     return run.staging("csat_info_sdb").select(*schema.SURVEY_STAGING)
 
@@ -200,11 +247,11 @@ def loaded_intervals(star: Star):
     return _report(run, "interval_wise_rdb", schema.INTERVAL_REPORT)
 
 
-@query(ORACLES["csat_score_daily"].replace("o_orderdate::date", _day_sql(1, "o_orderdate")))
+@query(ORACLES["csat_score_daily"])
 def loaded_csat_scores(star: Star):
     """Score and resolution files appended, twice, and reported."""
     run = _run(star)
-    text_date = {"date": _day(1, "date").cast("string")}
+    text_date = {"date": F.col("date").cast("string")}
     _land(run, csat=star.csat_scores().withColumns(text_date), ftr_ivr=star.ftr_ivr().withColumns(text_date))
     for _ in range(2):
         flows.stage_csat_scores(run)
@@ -234,32 +281,31 @@ def staged_employee_slice(star: Star):
     return run.staging("emp_details_lob_sdb").select(*schema.EMPLOYEES_SHORT)
 
 
-def _audits(star: Star) -> DataFrame:
-    return star.quality().withColumn("date", _day(1, "date"))
+_MARKS = ", ".join(f"CASE WHEN (l_linenumber + {i}) % 4 = 0 THEN 'No' ELSE 'Yes' END AS {m}" for i, m in enumerate(schema.QUALITY_MARKS))
 
 
-@query(f"""
-    SELECT {_day_sql(1, 'l_shipdate')} AS date, l_suppkey::varchar AS agent_id, l_shipdate AS call_date,
-           100 - round(l_discount * 100)::int AS overall_score, l_quantity::int::varchar AS customer_number
-    FROM lineitem WHERE day(l_shipdate) % 28 + 1 <> 9""")
+@query(with_views(f"""
+    SELECT {column_list([c for c in schema.QUALITY if c not in ("agent_name", "agent_id", "customer_number", *schema.QUALITY_MARKS)])},
+           upper(agent_name) AS agent_name, emp_id AS agent_id, {_MARKS}, l_quantity::int::varchar AS customer_number
+    FROM audit_items WHERE date <> DATE '1995-06-17'""", "audit_items"))
 def staged_quality(star: Star):
-    """Quality audits, staged again after one date vanished at the source."""
+    """Quality audits of seven years, staged again after one date vanished at the source."""
     run = _run(star)
-    for number, keep in (("first", "true"), ("second", "day(date) <> 9")):
+    for number, keep in (("first", "true"), ("second", "date <> DATE '1995-06-17'")):
         again = _run(star, number, run.root)
-        _land(again, quality=_audits(star).where(keep))
+        _land(again, quality=star.quality().where(keep))
         flows.stage_quality(again)
-    return run.staging("quality_sdb").select("date", "agent_id", "call_date", "overall_score", "customer_number")
+    return run.staging("quality_sdb").select(*schema.QUALITY)
 
 
-@query(f"""
-    WITH k AS (SELECT {_day_sql(1, 'o_orderdate')} AS date, o_custkey::varchar AS "Emp_Code_",
+@query("""
+    WITH k AS (SELECT o_orderdate::date AS date, o_custkey::varchar AS "Emp_Code_",
                       'EMPLOYEE ' || o_custkey AS "Employee_Name_", floor(o_totalprice)::bigint AS "Assessment_Scores" FROM orders)
     SELECT 'history' AS kept, * FROM k UNION ALL SELECT 'last', * FROM k WHERE date = (SELECT max(date) FROM k)""")
 def staged_knowledge(star: Star):
     """The full history, and the copy of the newest reloaded date."""
     run = _run(star)
-    _land(run, datawisepkt=star.knowledge().withColumn("date", _day(1, "date")))
+    _land(run, datawisepkt=star.knowledge())
     flows.stage_knowledge(run)
     parts = [run.staging(name).select(F.lit(kept).alias("kept"), *schema.KNOWLEDGE_TEST)
              for kept, name in (("history", "datawisepkt_sdb"), ("last", "temp_datawisepkt_sdb"))]
@@ -271,28 +317,37 @@ def _scores(star: Star) -> dict[str, DataFrame]:
     training = star.training()
     missing = {c: none for c in schema.TRAINING if c not in training.columns}
     return {
-        "tni_efficacy": training.withColumns({**missing, "name": F.lit("n"), "date": _day(2, "date")}),
-        "bq_refresher": star.refresher().withColumns({"agent_name": F.lit("n"), "date": _day(2, "date_of_refresher")})}
+        "tni_efficacy": training.withColumns({**missing, "name": F.lit("n")}),
+        "bq_refresher": star.refresher().withColumns({"agent_name": F.lit("n"), "date": F.col("date_of_refresher")})}
 
 
-@query(f"""
-    SELECT {_day_sql(2, 'l_shipdate')} AS date, l_suppkey::varchar AS emp_id, 'N' AS name, l_quantity AS same_day_assessment_score
-    FROM lineitem WHERE l_returnflag = 'R'""")
-def staged_training(star: Star):
+def _two_months(star: Star, stage) -> flows.Run:
+    """A month's load at the end of a year and at the start of the next, each twice."""
     run = _run(star)
     _land(run, **_scores(star))
-    flows.stage_training(run)
+    for as_of in ("1995-12-31", "1996-01-01") * 2:
+        stage(flows.Run(star.spark, run.root, as_of, as_of))
+    return run
+
+
+_TWO_MONTHS = "l_shipdate::date BETWEEN DATE '1995-12-01' AND DATE '1996-01-31'"
+
+
+@query(f"""
+    SELECT l_shipdate::date AS date, l_suppkey::varchar AS emp_id, 'N' AS name, l_quantity AS same_day_assessment_score
+    FROM lineitem WHERE l_returnflag = 'R' AND {_TWO_MONTHS}""")
+def staged_training(star: Star):
+    """A run loads the month of its day; months of other runs stay."""
+    run = _two_months(star, flows.stage_training)
     return run.staging("tni_efficacy_sdb").select("date", "emp_id", "name", "same_day_assessment_score")
 
 
 @query(f"""
-    SELECT {_day_sql(2, 'l_shipdate')} AS date, l_shipdate::date AS date_of_refresher, l_suppkey::varchar AS emp_id, 'N' AS agent_name,
+    SELECT l_shipdate::date AS date, l_shipdate::date AS date_of_refresher, l_suppkey::varchar AS emp_id, 'N' AS agent_name,
            round(l_tax * 100) AS assessment_scores
-    FROM lineitem WHERE l_linestatus = 'O'""")
+    FROM lineitem WHERE l_linestatus = 'O' AND {_TWO_MONTHS}""")
 def staged_refresher(star: Star):
-    run = _run(star)
-    _land(run, **_scores(star))
-    flows.stage_refresher(run)
+    run = _two_months(star, flows.stage_refresher)
     return run.staging("bq_refresher_sdb").select("date", *schema.REFRESHER)
 
 
@@ -306,21 +361,26 @@ def staged_attrition(star: Star):
     return run.staging("attrition_tracker_sdb").select(*schema.ATTRITION)
 
 
-@query(with_views(f"""
-    , pkt AS (SELECT DISTINCT ON (id) id, score FROM (SELECT o_custkey::varchar AS id, o_orderdate::date AS d, max(floor(o_totalprice)) AS score
-              FROM orders GROUP BY 1, 2) ORDER BY id, d DESC)
-    SELECT {_day_sql(1, 'a.call_date')} AS date, a.emp_id, a.call_date, a.overall_score, a.greetings1_binary_count,
-           pkt.score::double AS pkt_scores, s.role_fit, s.team_lead_name
-    FROM audits a LEFT JOIN pkt ON pkt.id = a.emp_id LEFT JOIN staff s ON s.employeeid = a.emp_id""", "audits", "staff"))
+@query(ORACLES["attrition_slice"] + " AND o_orderstatus <> 'P'")
+def loaded_attrition(star: Star):
+    """Staged and reported; rows without a date are in no report."""
+    run = _run(star)
+    _land(run, attrition_tracker=star.attrition())
+    for _ in range(2):
+        flows.stage_attrition(run)
+        flows.report_attrition(run)
+    return _report(run, "attrition_tracker_rdb", schema.ATTRITION)
+
+
+@query(ORACLES["quality_report"])
 def loaded_quality(star: Star):
-    """Audits of one month with the latest knowledge score before it, and people."""
+    """Audits of seven years with the latest scores up to each of them, and people; all columns."""
     run = _run(star)
-    _land(run, "staging", quality_sdb=_audits(star), datawisepkt_sdb=star.knowledge(), tni_efficacy_sdb=star.training(),
+    _land(run, "staging", quality_sdb=star.quality(), datawisepkt_sdb=star.knowledge(), tni_efficacy_sdb=star.training(),
           bq_refresher_sdb=star.refresher())
     writers.write_snapshot(with_leader_names(star.employees()), run.path("staging", "emp_details_sdb"), run.as_of)
     flows.report_quality(run)
-    return _report(run, "quality_rdb", ["date", "emp_id", "call_date", "overall_score", "greetings1_binary_count", "pkt_scores",
-                                        "role_fit", "team_lead_name"])
+    return _report(run, "quality_rdb", schema.QUALITY_REPORT)
 
 
 _LOGGED = "SELECT ts::date FROM events WHERE event_type IN ('click', 'purchase', 'signup')"

@@ -145,6 +145,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         + """, 7 - count(*) AS wo, count(*) AS total_planned_
         FROM (SELECT *, format('{:02d}:00-{:02d}:00', shift_start // 60, shift_end // 60 % 24) AS cell FROM shifts)
         GROUP BY 1, 2"""),
+    "audit_items": (("audits",), "SELECT a.*, i.* FROM audits a POSITIONAL JOIN lineitem i"),
     "audits": ((), """
         SELECT l_shipdate::date AS date, 'agent ' || l_suppkey AS agent_name, l_suppkey::varchar AS emp_id,
                l_shipdate AS call_date, 100 - round(l_discount * 100)::int AS overall_score, 100 AS scorable,

@@ -9,22 +9,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def _by_date(df: DataFrame, partition: str) -> DataFrame:
-    # few files per date: adaptive execution splits a date that is too big for one task
-    return df.hint("rebalance", F.col(partition)) if partition in df.columns else df
+#: Rows of one date that one task writes, where the number of rows is known beforehand.
+ROWS_PER_FILE = 1_000_000
 
 
-def replace_dates(df: DataFrame, path: str, partition: str = "date", cover: DataFrame | None = None) -> None:
+def _by_date(df: DataFrame, partition: str, counts: DataFrame | None = None) -> DataFrame:
+    """Rows of a date in few files, a big date in several tasks.
+
+    Without ``counts`` adaptive execution splits a date that is too big for one task, and puts small dates
+    together, all of them in one task if need be. ``counts`` (``date``, ``source_rows``; one row per date)
+    tells the size of dates, so that many small ones are written by many tasks.
+    """
+    if partition not in df.columns:
+        return df
+    if counts is None:
+        return df.hint("rebalance", F.col(partition))
+    parts = counts.select(F.col("date").alias(partition), F.ceil(F.col("source_rows") / ROWS_PER_FILE).alias("_parts"))
+    spread = df.join(F.broadcast(parts), partition, "left").withColumn(
+        "_part", F.pmod(F.monotonically_increasing_id(), F.greatest(F.col("_parts"), F.lit(1))))
+    # a fixed number of partitions, as adaptive execution would merge small ones
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return spread.repartition(tasks, partition, "_part").select(*df.columns)
+
+
+def replace_dates(df: DataFrame, path: str, partition: str = "date", cover: DataFrame | None = None,
+                  counts: DataFrame | None = None) -> None:
     """Replace exactly the dates ``df`` holds; all other dates stay untouched.
 
     ``cover`` (one row per date, ``date``) names the dates the write speaks for: those without a row
     in ``df`` lose their old rows too. They go first, so a crash in between never shows a date twice;
-    running again finishes the work.
+    running again finishes the work. ``counts``: see ``_by_date``.
     """
     if cover is not None:
         held = df.select(F.col(partition).alias("date")).distinct()
         purge_dates(df.sparkSession, path, cover.select("date").join(held, "date", "left_anti"), partition)
-    (_by_date(df, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_by_date(df, partition, counts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition).parquet(path))
 
 
@@ -54,7 +73,7 @@ def apply_decisions(rows: DataFrame, decisions: DataFrame, path: str, clean=None
         held = decisions.where("action = 'reload' and target_rows > 0").select("date")
         empty = held.join(chosen.select(F.col(partition).alias("date")).distinct(), "date", "left_anti")
         purge_dates(spark, path, empty, partition)
-    replace_dates(clean(chosen) if clean else chosen, path, partition)
+    replace_dates(clean(chosen) if clean else chosen, path, partition, counts=decisions)
 
 
 def store_decisions(decisions: DataFrame, path: str) -> DataFrame:
@@ -74,7 +93,7 @@ def write_snapshot(df: DataFrame, path: str, as_of) -> None:
 
 
 def append_rows(df: DataFrame, path: str, partition: str | None = "date") -> None:
-    writer = df.write.mode("append")
+    writer = (_by_date(df, partition) if partition else df).write.mode("append")
     (writer.partitionBy(partition) if partition else writer).parquet(path)
 
 
@@ -89,7 +108,7 @@ def dual_write(df: DataFrame, decisions: DataFrame, history: str, last_batch: st
 
     The last batch is copied from the written history, so ``df`` is computed once.
     """
-    replace_dates(df, history, partition)
+    replace_dates(df, history, partition, counts=decisions)
     newest = decisions.where("action = 'reload'").agg(F.max("date").alias(partition))
     written = df.sparkSession.read.parquet(history).join(newest, partition, "left_semi")
     replace_dates(written.withColumn("batch", F.lit("last")), last_batch, "batch")
