@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from callops import schema
 from callops.functions import dates as dt
-from callops.operators import checks, gates
+from callops.operators import append, checks, gates
 from callops.operators.windows import quartile_category
 from callops.plans import adherence, calls, cleaning, csat, interval, people, productivity, quality, shrinkage
 from callops.sinks import writers
@@ -175,13 +175,16 @@ def _stage_dates(run: Run, table: str, target: str, gate: Callable, clean: Calla
     writers.apply_decisions(rows, decided, run.path("staging", target), cover=True)
 
 
-def _stage_new_rows(run: Run, table: str, target: str, clean: Callable, rules: dict[str, Column],
-                    partition: str | None = "date") -> None:
-    rows = clean(run.valid(table, run.landing(table), rules) if rules else run.landing(table))
+def _stage_new_rows(run: Run, table: str, target: str, clean: Callable, rules: dict[str, Column]) -> None:
+    rows = clean(run.valid(table, run.landing(table), rules))
     path = run.path("staging", target)
     present = tables.read_table(run.spark, path, like=rows.schema).select(*rows.columns)
-    date = partition if partition in rows.columns else None
-    writers.append_rows(gates.new_rows(rows, present, date=date), path, partition)
+    writers.append_rows(gates.new_rows(rows, present, date="date"), path)
+
+
+def _stage_by_sketch(run: Run, rows: DataFrame, target: str) -> None:
+    """Append what an undated table lacks; its rows are not read again."""
+    append.append_missing(rows, run.path("staging", target), f"{run.path('audit', 'sketches')}/{target}")
 
 
 def _stage_months(run: Run, table: str, target: str, clean: Callable) -> None:
@@ -263,14 +266,11 @@ def stage_employees(run: Run) -> None:
 def stage_employee_slice(run: Run) -> None:
     """One line of business, short column list; what the table does not hold yet is appended."""
     rows = cleaning.clean_employees(run.landing("emp_details").where(F.col("lob") == run.lob), schema.EMPLOYEES_SHORT)
-    path = run.path("staging", "emp_details_lob_sdb")
-    present = tables.read_table(run.spark, path, like=rows.schema).select(*rows.columns)
-    writers.append_rows(gates.new_rows(rows, present), path, partition=None)
+    _stage_by_sketch(run, rows, "emp_details_lob_sdb")
 
 
 def stage_attrition(run: Run) -> None:
-    _stage_new_rows(run, "attrition_tracker", "attrition_tracker_sdb",
-                    lambda df: cleaning.clean_attrition(df, run.lob), {}, partition=None)
+    _stage_by_sketch(run, cleaning.clean_attrition(run.landing("attrition_tracker"), run.lob), "attrition_tracker_sdb")
 
 
 # --- staging → reporting -----------------------------------------------------------------------

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from callops import schema
 from callops.functions import dates as dt
-from callops.operators import checks, gates
+from callops.operators import append, checks, gates
 from callops.plans.cleaning import clean_employees, readable
 from callops.plans.star import Star
 from callops.queries.registry import query
@@ -74,6 +74,37 @@ def append_rows_result(star: Star):
     return tables.read_table(star.spark, path, ["date", "status"])
 
 
+_GROWING = """
+    WITH s AS (SELECT event_type AS status, user_id, NULL::varchar AS note, event_id FROM events),
+    old AS (SELECT status, user_id, note FROM s WHERE event_id % 50 <> 0), new AS (SELECT status, user_id, note FROM s)"""
+
+
+def _growing(star: Star):
+    """Rows that repeat, twice: first without every fiftieth event, then all of them."""
+    rows = star.table("events").select("event_id", F.col("event_type").alias("status"), "user_id", F.lit(None).cast("string").alias("note"))
+    path, beside = work_dir(star.spark, "appended"), work_dir(star.spark, "sketch")
+    done = [append.append_missing(some.drop("event_id"), path, beside) for some in (rows.where("event_id % 50 <> 0"), rows, rows)]
+    return tables.read_table(star.spark, path), done
+
+
+@query(_GROWING + "SELECT * FROM old UNION ALL (SELECT * FROM new EXCEPT ALL SELECT * FROM old)")
+def append_by_sketch(star: Star):
+    """Rows that the table lacks are told from its sketch; running again appends nothing."""
+    return _growing(star)[0].select("status", "user_id", "note")
+
+
+@query(_GROWING + """
+    SELECT 'first' AS run, count(*) AS appended FROM old UNION ALL SELECT 'second', (SELECT count(*) FROM new) - (SELECT count(*) FROM old)
+    UNION ALL SELECT 'third', 0""")
+def appended_by_sketch(star: Star):
+    """How many rows each run appended."""
+    out = None
+    for name, done in zip(("first", "second", "third"), _growing(star)[1]):
+        row = done.agg(F.coalesce(F.sum("appended"), F.lit(0)).alias("appended")).select(F.lit(name).alias("run"), "appended")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query("""
     WITH s AS (SELECT l_shipdate::date AS date, l_linestatus AS status, l_orderkey AS id FROM lineitem),
     t AS (SELECT o_orderdate::date AS date, o_orderstatus AS status, o_orderkey AS id FROM orders),
