@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from callops import schema
 from callops.functions import dates as dt
-from callops.operators import append, checks, gates
+from callops.operators import append, checks, gates, scan
 from callops.operators.windows import quartile_category
 from callops.plans import adherence, calls, cleaning, csat, interval, people, productivity, quality, shrinkage
 from callops.sinks import writers
@@ -396,7 +396,7 @@ def report_quality(run: Run) -> None:
     reload = decided.where("action = 'reload'")
     report = quality.quality_report(
         _on(audits, reload), run.staging("datawisepkt_sdb"), run.staging("tni_efficacy_sdb"),
-        run.staging("bq_refresher_sdb"), _employees(run))
+        run.staging("bq_refresher_sdb"), _employees(run), range_rows=scan.RANGE_ROWS)
     writers.purge_dates(run.spark, path, decided.where("action = 'purge'"))
     writers.replace_dates(report, path, counts=decided)
 
