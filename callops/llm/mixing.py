@@ -11,8 +11,9 @@ and a window inside each range. A source has as many ranges as its rows ask for,
 also where one source holds a third of all rows, and they grow in number with the data.
 
 Defined results: null text has no words; a null source is a source of its own, ordered last; rows
-that repeat a document (id and text) stand at one place of the order and are taken together;
-documents without words take nothing; an empty table gives an empty mix.
+that repeat a document (id and text) are numbered and each has a place of its own, so reruns agree on
+how many of them are taken, not on which; documents without words take nothing; an empty table gives
+an empty mix.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from callops.llm.common import WORD, text_of, written
+from callops.llm.exact import may_repeat
 
 #: Rows of a range of the shuffled order, and copies between two steps of finish time.
 RANGE_ROWS = 5_000
@@ -118,18 +120,46 @@ def copies_of(place_: Column) -> Column:
     return F.coalesce(F.col("last.epoch") + this_time, F.lit(0)).cast("int")
 
 
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Places of a source that several rows share, as ``digest``; written."""
+    return written(rows.groupBy("key", "place").count().where("count > 1").select(F.concat("key", "place").alias("digest")), "repeated")
+
+
+def _told_apart(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``rows`` with a place of its own for every row: the n-th of equal rows stands at a hash of place and n.
+
+    Rows are numbered inside the task that reads them, behind a running sum of the tasks' counts, so no
+    task sees all rows that are equal.
+    """
+    if repeated.isEmpty():
+        return rows
+    flagged = may_repeat(rows.withColumn("digest", F.concat("key", "place")), repeated).drop("digest")
+    some = written(flagged.where("may_repeat").withColumn("task", F.spark_partition_id())
+                   .withColumn("at", F.monotonically_increasing_id()), "equal")
+    per_task = some.groupBy("key", "place", "task").agg(F.count(F.lit(1)).alias("n"))
+    earlier = W.partitionBy("key", "place").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
+    before = per_task.select("key", "place", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    nth = F.col("before") + F.row_number().over(W.partitionBy("key", "place", "task").orderBy("at"))
+    own = F.when(F.col("nth") == 1, F.col("place")).otherwise(F.md5(F.concat("place", F.lit(":"), F.col("nth").cast("string")).cast("binary")))
+    numbered = some.join(before, ["key", "place", "task"]).withColumn("nth", nth).withColumn("place", own)
+    return flagged.where("not may_repeat").select(rows.columns).union(numbered.select(rows.columns))
+
+
 def schedule(docs: DataFrame, weights: tuple[int, ...], share: float, repeats: int,
              doc_id: str = "doc_id", text: str = "text", source: str = "source",
-             range_rows: int = RANGE_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(documents with ``key``, ``size``, ``place``; the sources with target and last copy)."""
+             range_rows: int = RANGE_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents with ``key``, ``size``, ``place``; the sources with target and last copy; places of equal rows)."""
     sized = written(docs.select(F.col(doc_id).alias("doc_id"), source_key(source).alias("key"), words(text).alias("size"),
                                 place(doc_id, text).alias("place")), "sized")
-    return sized, cuts(sized, weights, share, repeats, range_rows)
+    repeated = _repeated(sized)
+    if not repeated.isEmpty():
+        sized = written(_told_apart(sized, repeated), "sized")
+    return sized, cuts(sized, weights, share, repeats, range_rows), repeated
 
 
 def report(docs: DataFrame, weights: tuple[int, ...], share: float, repeats: int, **columns) -> DataFrame:
     """Per document: doc_id, size, source_size, target (its source's), taken (words, repeats counted)."""
-    sized, sources = schedule(docs, weights, share, repeats, **columns)
+    sized, sources, _ = schedule(docs, weights, share, repeats, **columns)
     return sized.join(sources, "key").select(
         "doc_id", "size", "source_size", F.coalesce("target", F.lit(0.0)).alias("target"),
         (F.col("size") * copies_of(F.col("place"))).alias("taken"))
@@ -138,9 +168,9 @@ def report(docs: DataFrame, weights: tuple[int, ...], share: float, repeats: int
 def mix(docs: DataFrame, weights: tuple[int, ...], share: float, repeats: int,
         doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mixed documents, all columns: a document sent twice is there twice, one not sent is gone."""
-    _, sources = schedule(docs, weights, share, repeats, doc_id, text, source)
-    keyed = docs.select(F.struct(*docs.columns).alias("doc"), source_key(source).alias("key"),
-                        place(doc_id, text).alias("place"))
+    _, sources, repeated = schedule(docs, weights, share, repeats, doc_id, text, source)
+    keyed = _told_apart(docs.select(F.struct(*docs.columns).alias("doc"), source_key(source).alias("key"),
+                                    place(doc_id, text).alias("place")), repeated)
     sent = keyed.join(sources, "key").select("doc", copies_of(F.col("place")).alias("copies"))
     return (sent.where(F.col("copies") > 0)
             .select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*"))

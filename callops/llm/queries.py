@@ -56,10 +56,14 @@ def op3_exact_dedup(docs: DataFrame) -> DataFrame:
 
 
 @query("documents", r"""
-with sized as (
+with placed as (
     select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
            md5(concat_ws(chr(31), coalesce(doc_id::varchar, ''), coalesce(text, ''))) as place
     from documents
+), numbered as (
+    select *, row_number() over (partition by source, place) as nth from placed
+), sized as (
+    select doc_id, source, size, case when nth = 1 then place else md5(place || ':' || nth) end as place from numbered
 ), totals as (
     select source, sum(size)::bigint as source_size, [3, 1, 2][(row_number() over (order by source nulls last) - 1) % 3 + 1]::double as weight
     from sized group by source

@@ -2,6 +2,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from callops.llm import mixing
 from llm_samples import FOLDER, ODD, table  # noqa: F401
@@ -72,3 +73,25 @@ def test_empty_tables(table):
     assert mixing.report(table([], schema), (3, 1, 2), 1.5, 2).collect() == []
     silent = table([(1, None, "a", 0), (2, " ", None, 0)], schema)
     assert [(r["size"], r.target, r.taken) for r in mixing.report(silent, (3, 1, 2), 1.5, 2).collect()] == [(0, 0.0, 0)] * 2
+
+
+def test_a_row_repeated_very_often(spark):
+    """A third of all rows is one row: its source still comes within a document of its target."""
+    rows = spark.range(9000, numPartitions=7).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "a b c d e").otherwise("one two").alias("text"),
+        F.when(F.col("id") % 3 == 0, "x").when(F.col("id") % 3 == 1, "y").otherwise("z").alias("source"), F.col("id").alias("place"))
+    found = mixing.report(rows, (3, 1, 2), 1.5, 2, range_rows=500)
+    sums = found.groupBy("source_size", "target").agg(F.sum("taken").alias("taken")).collect()
+    assert len(found.collect()) == 9000
+    assert {round(r["target"]) for r in sums} == {round(t) for t in fill({"x": 15000, "y": 6000, "z": 6000}, (3, 1, 2), 1.5, 2).values()}
+    taken = {r["doc_id"]: r["taken"] for r in found.groupBy("doc_id").agg(F.sum("taken").alias("taken")).collect()}
+    goals = fill({"x": 15000, "y": 6000, "z": 6000}, (3, 1, 2), 1.5, 2)
+    assert abs(taken[0] - goals["x"]) <= 10
+    for s, rest in (("y", 1), ("z", 2)):
+        assert abs(sum(t for k, t in taken.items() if k and k % 3 == rest) - goals[s]) <= 4
+    again = mixing.report(rows.repartition(3), (3, 1, 2), 1.5, 2, range_rows=500)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, again.collect()))
+    mixed = mixing.mix(rows, (3, 1, 2), 1.5, 2)
+    assert mixed.columns == rows.columns
+    assert mixed.where("source = 'x'").count() * 5 == taken[0]
