@@ -2,6 +2,10 @@
 
 Every stage works on all rows that the one before it kept; its result is written as Parquet in the
 shared folder and read again, so a lost executor never costs more than a stage.
+
+Defined results, in every stage: an empty table gives an empty table with the stage's columns; columns
+other than doc_id, text, lang and source are carried as they are, whatever their names; null doc_id,
+lang and source are kept. Each stage says what it does with null and empty texts and with repeated rows.
 """
 
 from __future__ import annotations
@@ -18,27 +22,29 @@ LEAST_SCORE = 0.5
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; ``und`` and undecided ones go."""
+    """Documents with a language; ``und`` and undecided ones go, so null and empty texts do. Repeated rows stay."""
     return langid.keep_identified(docs, LEAST_SCORE)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts that are equal but for white space."""
+    """One document of each group of texts that are equal but for white space: that with the most characters,
+    then the smallest doc_id. Null and empty texts are one group; of rows repeated whole one stays."""
     return exact.dedup(docs, carry=True).where("kept").select("doc.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints."""
+    """One document of each group of linked fingerprints. Texts without words have the fingerprint zero and link."""
     return simhash.survivors(docs, SIMHASH_WORDS, SIMHASH_BITS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them; those without words go. Repeated rows count one by one."""
     return mixing.mix(docs, MIX_WEIGHTS, MIX_SHARE, MIX_REPEATS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, lang, ids, n_tokens, and whether the ids decode to the text."""
+    """doc_id, source, lang, ids, n_tokens, and whether the ids decode to the text. Null and empty texts have no ids;
+    repeated rows are encoded each."""
     keep = ["doc_id", "source", "lang", "sha"]
     told = docs.select("doc_id", "source", "lang", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"))
     tokens = bpe.round_trip(told, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, keep)
