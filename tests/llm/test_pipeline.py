@@ -17,7 +17,7 @@ from test_simhash import expected as near
 def test_registered():
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "language ID" and len(corpus_pipeline.STAGES) == 5
     names = __spark_entry__.queries()
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
 
 
 def check_stages(spark, docs):
@@ -73,7 +73,7 @@ def test_run_is_the_stages_one_after_another(spark):
     assert one == two
 
 
-@pytest.mark.parametrize("stage", range(4))
+@pytest.mark.parametrize("stage", range(5))
 def test_empty(spark, table, stage):  # noqa: F811
     empty = table([], "doc_id long, text string, lang string, source string")
     assert corpus_pipeline.STAGES[stage][1](spark, empty, FOLDER).collect() == []
