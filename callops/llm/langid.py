@@ -58,15 +58,13 @@ class _Letters:
         return cls.table
 
 
-def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(feature, text number) of every n-gram; texts do not run into each other."""
-    joined = " \x00 ".join(texts)  # NUL is no letter: it becomes a blank, and parts texts
-    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    owner = np.repeat(np.arange(len(texts)), lengths + 3)[:len(points)]
-    chars = _Letters.get()[points]
-    keep = np.r_[True, (chars[1:] != 32) | (chars[:-1] != 32)]  # runs of blanks count once
-    chars, owner = chars[keep].astype(np.uint64), owner[keep]
+def _letters(text: str) -> np.ndarray:
+    return _Letters.get()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+
+
+def _counted(chars: np.ndarray, owner: np.ndarray, seen: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(feature, text number) of every n-gram that does not end among the first ``seen`` characters."""
+    chars = chars.astype(np.uint64)
     features, owners, code = [], [], np.zeros(len(chars), np.uint64)
     for n in range(1, GRAMS + 1):
         code = chars[:len(chars) - n + 1] + code[1:][:len(chars) - n + 1] * np.uint64(0x110000) if n > 1 else chars
@@ -74,35 +72,50 @@ def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         feature = (mixed >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
         first, last = owner[:len(code)], owner[n - 1:]
         inside = (first == last) & (chars[:len(code)] != 32 if n == 1 else True)
+        inside[:max(seen - n + 1, 0)] = False
         features.append(feature[inside])
         owners.append(first[inside])
     return np.concatenate(features), np.concatenate(owners)
 
 
-def _pieces(texts: list[str]) -> tuple[list[str], list[int]]:
-    """Very long texts in pieces that overlap by less than an n-gram, and the text each is of."""
-    pieces, owner = [], []
-    for k, text in enumerate(texts):
-        for at in range(0, max(len(text), 1), SLICE_CHARS):
-            pieces.append(text[at:at + SLICE_CHARS + GRAMS - 1])
-            owner.append(k)
-    return pieces, owner
+def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(feature, text number) of every n-gram; runs of blanks count once, one blank ends each text and none starts it."""
+    chars = _letters("".join(t + " \x00 " for t in texts))  # NUL is no letter: it becomes a blank, and parts texts
+    owner = np.repeat(np.arange(len(texts)), np.fromiter(map(len, texts), np.int64, len(texts)) + 3)
+    keep = (chars != 32) | (np.r_[32, chars[:-1]] != 32)
+    return _counted(chars[keep], owner[keep])
+
+
+def _grams_of_long(text: str):
+    """The features of one text, slice by slice: a slice takes over the last characters of those before it."""
+    held, last = np.zeros(0, np.uint64), 32
+    for at in range(0, len(text), SLICE_CHARS):
+        chars = _letters(text[at:at + SLICE_CHARS] + (" " if at + SLICE_CHARS >= len(text) else ""))
+        chars = chars[(chars != 32) | (np.r_[last, chars[:-1]] != 32)]
+        if len(chars):
+            joined = np.r_[held, chars]
+            yield _counted(joined, np.zeros(len(joined), np.int64), len(held))[0]
+            held, last = joined[-(GRAMS - 1):], chars[-1]
 
 
 def sparse_counts(texts: list[str]):
-    """Sparse (text number, feature, count) triples of slices of the texts."""
-    pieces, owner = _pieces(texts)
-    owner = np.array(owner)
-    for a, b in batches_of([len(p) for p in pieces], SLICE_CHARS):
-        feature, piece = _grams(pieces[a:b])
+    """Sparse (text number, feature, count) triples, many texts at once or slices of one; cuts change no count."""
+    for a, b in batches_of([len(t) for t in texts], SLICE_CHARS):
+        if len(texts[a]) > SLICE_CHARS:
+            for feature in _grams_of_long(texts[a]):
+                counts = np.bincount(feature, minlength=BUCKETS)
+                cells = np.flatnonzero(counts)
+                yield np.full(len(cells), a), cells, counts[cells]
+            continue
+        feature, number = _grams(texts[a:b])
         n = b - a
         if n * BUCKETS <= 2 * len(feature):  # few long texts: count in place
-            counts = np.bincount(piece * BUCKETS + feature, minlength=n * BUCKETS)
+            counts = np.bincount(number * BUCKETS + feature, minlength=n * BUCKETS)
             cells = np.flatnonzero(counts)
-            yield owner[a + cells // BUCKETS], cells % BUCKETS, counts[cells]
+            yield a + cells // BUCKETS, cells % BUCKETS, counts[cells]
         else:
-            cells, counts = np.unique(piece * BUCKETS + feature, return_counts=True)
-            yield owner[a + cells // BUCKETS], cells % BUCKETS, counts
+            cells, counts = np.unique(number * BUCKETS + feature, return_counts=True)
+            yield a + cells // BUCKETS, cells % BUCKETS, counts
 
 
 def _whole_counts(texts: list[str]):
@@ -163,9 +176,10 @@ def _typical(drawn: DataFrame, names: list[str], sums: np.ndarray, prior: np.nda
 
 
 def _drawn(labelled: DataFrame, sizes: DataFrame, fit_docs: int) -> DataFrame:
-    """About ``fit_docs`` documents of each language: those whose hash falls into its share of all hashes."""
+    """About ``fit_docs`` documents of each language: those whose hash falls into its share of all hashes; equal rows once."""
     place = F.pmod(F.xxhash64("id", F.xxhash64("text")), F.lit(1 << 32))
-    return labelled.join(sizes, "lang").where(place < F.lit(float(1 << 32)) * fit_docs / F.col("docs")).select("lang", "text")
+    return labelled.join(sizes, "lang").where(place < F.lit(float(1 << 32)) * fit_docs / F.col("docs")
+                                               ).select("lang", "id", "text").distinct().select("lang", "text")
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",

@@ -29,6 +29,7 @@ FIT_DOCS = 4_000
 FEATURES = 1 << 14
 ROUNDS, STEPS, STEP, RIDGE = 200, 150, 0.4, 1e-4
 SLICE_CHARS = 500_000
+AHEAD = 8
 LEAST_SCORE = 0.4
 _PLAIN = re.compile(r"[\w\s.,;:!?'\"()-]")
 _SENTENCE = re.compile(r"[.!?…]")
@@ -99,23 +100,25 @@ def fit_votes(patterns: list[str], counts: list[int], rounds: int = ROUNDS) -> t
 def _sparse(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, feature, value) of hashed character trigrams and equal neighbours; values have length 1 per text."""
     pieces, owner = [], []
-    for k, text in enumerate(texts):  # very long texts in pieces
+    for k, text in enumerate(map(str.lower, texts)):  # very long texts in pieces, each with what its last trigrams look ahead to
         for at in range(0, len(text), SLICE_CHARS):
-            pieces.append(text[at:at + SLICE_CHARS + 5])
+            pieces.append(text[at:at + SLICE_CHARS + AHEAD])
             owner.append(k)
     owner, cells, sums = np.array(owner, np.int64), [np.zeros(0, np.int64)], [np.zeros(0)]
     for a, b in batches_of([len(p) for p in pieces], SLICE_CHARS):
-        joined = "\x00\x00\x00".join(p.lower() for p in pieces[a:b])
+        joined = "\x00\x00\x00".join(pieces[a:b])
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        lengths = np.array([len(p.lower()) for p in pieces[a:b]])
+        lengths = np.array([len(p) for p in pieces[a:b]])
         number = np.repeat(np.arange(b - a), lengths + 3)[:len(points)]
+        place = np.arange(len(points)) - (np.cumsum(lengths + 3) - lengths - 3)[number]
+        number[place >= lengths[number]] = -1  # what parts the pieces
         points[np.isin(points, np.arange(48, 58))] = 48
         if len(points) < 3:
             continue
         code = points[:-2] + points[1:-1] * np.uint64(0x110000) + points[2:] * np.uint64(0x110000 ** 2 % (1 << 64))
         code = (code + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         feature = (code >> np.uint64(64 - FEATURES.bit_length() + 1)).astype(np.int64)
-        inside = number[:-2] == number[2:]
+        inside = (number[:-2] == number[2:]) & (number[:-2] >= 0) & (place[:-2] < SLICE_CHARS)
         # a trigram that comes again six characters later: a mark of repetition
         again = np.zeros(len(feature), bool)
         again[:-6] = (feature[:-6] == feature[6:]) & (number[:-8] == number[8:])
@@ -130,18 +133,18 @@ def _sparse(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return number, feature, value / norm[number] if len(cell) else value
 
 
-def fit_scorer(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> np.ndarray:
-    """Weights (the last is the constant) of a logistic scorer for soft labels, classes weighed alike."""
-    sizes = np.array([len(f) for f, _ in docs])
-    row = np.repeat(np.arange(len(docs)), sizes)
-    feature = np.concatenate([f for f, _ in docs]) if len(docs) else np.zeros(0, np.int64)
-    value = np.concatenate([v for _, v in docs]) if len(docs) else np.zeros(0)
+def fit_scorer(sizes: np.ndarray, feature: np.ndarray, value: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Weights (the last is the constant) of a logistic scorer for soft labels, classes weighed alike.
+
+    ``sizes`` are the numbers of features per document, whose features and values follow each other.
+    """
+    row = np.repeat(np.arange(len(sizes)), sizes)
     weights, constant = np.zeros(FEATURES), 0.0
     good, bad = max(labels.sum(), 1.0), max((1 - labels).sum(), 1.0)
     for_good, for_bad = labels / (2 * good), (1 - labels) / (2 * bad)
     total = np.zeros(FEATURES)
     for _ in range(STEPS):
-        log = constant + np.bincount(row, weights[feature] * value, minlength=len(docs))
+        log = constant + np.bincount(row, weights[feature] * value, minlength=len(sizes))
         p = 1 / (1 + np.exp(-np.clip(log, -60, 60)))
         error = for_good * (1 - p) - for_bad * p
         slope = np.bincount(feature, error[row] * value, minlength=FEATURES) - RIDGE * weights
@@ -209,9 +212,9 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fit_do
 
     share = min(1.0, fit_docs / sum(r["count"] for r in patterns))
     seal = F.xxhash64("doc_id", "text")
-    drawn = given.select(seal.alias("seal"), "text").where(F.pmod(F.col("seal"), F.lit(1 << 32)) < F.lit(share * (1 << 32)))
-    fit = _features(label(drawn, ["seal", "text"]), ["seal", "votes"]).collect()
-    fit.sort(key=lambda r: (r["seal"], r["votes"]))
-    weights = fit_scorer([(np.array(r["features"], np.int64), np.array(r["amounts"])) for r in fit],
-                         np.array([posterior[r["votes"]] for r in fit]))
+    drawn = given.select(seal.alias("seal"), "text").where(F.pmod(F.col("seal"), F.lit(1 << 32)) < F.lit(share * (1 << 32))).distinct()
+    fit = _features(label(drawn, ["seal", "text"]), ["seal", "votes"]).toArrow().sort_by([("seal", "ascending"), ("votes", "ascending")])
+    features, amounts = (fit[name].combine_chunks() for name in ("features", "amounts"))
+    weights = fit_scorer(np.diff(features.offsets.to_numpy()), features.flatten().to_numpy(), amounts.flatten().to_numpy(),
+                         np.array([posterior[v] for v in fit["votes"].to_pylist()], float))
     return score(given, weights, ["doc_id"]).withColumn("kept", F.col("score") >= least)

@@ -1,5 +1,8 @@
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -39,22 +42,71 @@ def test_odd_rows(table):  # noqa: F811
     assert told[104][0] == "en" and told[None][0] == "de" and told[106][0] == "de"
 
 
-def test_pieces_of_a_long_text_count_as_the_whole(monkeypatch):
-    text = "The quick brown fox, the lazy dog; " * 50
-
-    def counts():
-        total = {}
-        for number, feature, count in langid.sparse_counts([text, "other"]):
-            for n, f, c in zip(number, feature, count):
-                total[n, f] = total.get((n, f), 0) + c
-        return total
-
-    whole = counts()
-    monkeypatch.setattr(langid, "SLICE_CHARS", 100)
-    cut = counts()
-    assert sum(cut.values()) >= sum(whole.values())  # an overlap may count a gram twice, none is lost
-    assert sum(cut.values()) - sum(whole.values()) <= 2 * langid.GRAMS * (len(text) // 100 + 1)
-    assert set(whole) <= set(cut)
+def plain_grams(text):
+    """Feature counts of a text, gram by gram."""
+    letters = re.sub(r"\s+", " ", "".join(c.lower() if c.isalpha() else " " for c in text)).strip()
+    found = Counter()
+    for n in range(1, langid.GRAMS + 1):
+        for k in range(len(letters + " ") - n + 1 if letters else 0):
+            gram = (letters + " ")[k:k + n]
+            if gram != " ":
+                code = sum(ord(c) * 0x110000 ** i for i, c in enumerate(gram))
+                found[(code + n) * 0x9E3779B97F4A7C15 % 2 ** 64 >> 64 - langid.BUCKETS.bit_length() + 1] += 1
+    return found
+
+
+def test_cuts_and_neighbours_change_no_count(monkeypatch):
+    texts = ["The quick brown fox, the lazy dog; " * 50, "  two", "", "12", "a" + " " * 450 + "b " * 130, " " * 700, "x" * 100, "y" * 101 + " ", "end"]
+    for size in (100, 101, 200_000):
+        monkeypatch.setattr(langid, "SLICE_CHARS", size)
+        for order in (texts, texts[::-1]):
+            total = {k: Counter() for k in range(len(order))}
+            for number, feature, count in langid.sparse_counts(order):
+                for n, f, c in zip(number.tolist(), feature.tolist(), count.tolist()):
+                    total[n][f] += c
+            assert [total[k] for k in range(len(order))] == [plain_grams(t) for t in order]
+
+
+def test_scores_by_brute_force(table):  # noqa: F811
+    samples = {"en": ["the house and the dog", "a dog in the old town", "the town"], "de": ["das Haus und der Hund", "ein Hund in der alten Stadt"]}
+    rows = [(k, " ".join([t] * (1 + k % 3)), x) for k, (x, t) in enumerate((x, t) for _ in range(6) for x, ts in samples.items() for t in ts)]
+    rows += [(900, "der Hund and the dog", None), (901, "", "en")]
+    found = {r.doc_id: r for r in langid.report(table(rows, "doc_id long, text string, lang string")).collect()}
+
+    learned = [(plain_grams(t), x) for k, t, x in rows if x and zlib.crc32(str(k).encode()) % 5]
+    names = sorted({x for _, x in learned})
+    prior = {x: math.log(sum(y == x for _, y in learned) / len(learned)) for x in names}
+    sums = {x: Counter() for x in names}
+    for grams, x in learned:
+        sums[x].update(grams)
+    total = {x: sum(sums[x].values()) + 0.5 * langid.BUCKETS for x in names}
+
+    def log(grams, x, less=Counter()):
+        return sum(n * math.log((sums[x][f] + 0.5 - less[f]) / (total[x] - sum(less.values()))) for f, n in grams.items())
+
+    floor, typical = -math.log(langid.BUCKETS), {}
+    for x in names:
+        own = []
+        for grams, y in learned:
+            alone = log(grams, x, grams) if y == x else 0
+            if y == x and grams and all(alone + prior[x] >= log(grams, z) + prior[z] for z in names if z != x):
+                own.append((alone, sum(grams.values())))
+        centre = max(floor, np.median([a / n for a, n in own]))
+        below = np.quantile([(n * centre - a) / (n + langid.PRIOR_GRAMS) for a, n in own], 1 - langid.LOW_SHARE)
+        typical[x] = centre, max(min(max(langid.TIMES * below, langid.LEAST_WIDTH), centre - floor), 1e-3)
+
+    for k, text, _ in rows:
+        grams = plain_grams(text)
+        if not grams:
+            assert (found[k].lang_pred, found[k].score) == ("und", 0.0)
+            continue
+        logs = {x: log(grams, x) + prior[x] for x in names}
+        best = max(names, key=logs.get)
+        posterior = 1 / sum(math.exp(v - logs[best]) for v in logs.values())
+        n, (centre, width) = sum(grams.values()), typical[best]
+        above = (logs[best] - prior[best] - n * centre) / (n + langid.PRIOR_GRAMS)
+        assert found[k].lang_pred == best
+        assert abs(found[k].score - posterior / (1 + math.exp(-langid.STEEPNESS * (1 + above / width)))) < 1e-9
 
 
 def test_nothing_to_learn(table):  # noqa: F811
