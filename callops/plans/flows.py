@@ -25,7 +25,8 @@ from callops.sources import envelope, large, tables
 class Run:
     """One run of the loads: where the layers lie, and the day it is made for.
 
-    Reports without a gate cover ``first_day`` … ``last_day``, by default the day before ``as_of``.
+    Reports without a gate cover ``first_day`` … ``last_day``, by default the day before ``as_of``. With
+    ``people_of_day`` they show employees as they were on the reported day, else as the newest snapshot does.
     """
 
     spark: SparkSession
@@ -36,6 +37,7 @@ class Run:
     last_day: str | None = None
     rules: calls.CallRules = calls.CallRules()
     lob: str = ""
+    people_of_day: bool = False
 
     def path(self, layer: str, table: str) -> str:
         return tables.layer_path(self.root, layer, table)
@@ -357,7 +359,10 @@ def report_product_csat(run: Run) -> None:
     product = _product(run, _months_of(days))
     letters = quartile_category(productivity.month_occupancy(product), ["month"], "score")
     joined = productivity.product_csat_report(product, csat.csat_agent_daily(_outcomes(run, days)), letters)
-    report = people.with_people(_on(joined, days), _employees(run), run.as_of)
+    if run.people_of_day:
+        report = people.with_people_of_day(_on(joined, days), run.staging("emp_details_sdb"), run.as_of)
+    else:
+        report = people.with_people(_on(joined, days), _employees(run), run.as_of)
     writers.replace_dates(report, run.path("reporting", "product_csat_rdb"), cover=days)
 
 

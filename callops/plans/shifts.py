@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from callops.functions.numbers import percent
+from callops.operators.overlap import all_spans, covered_seconds
 from callops.operators.reshape import roster_days
 
 #: A roster cell is a shift when it reads ``HH:MM-HH:MM``; anything else (week off, leave) is not.
@@ -59,3 +61,25 @@ def attended(shifts: DataFrame, logins: DataFrame) -> DataFrame:
         "first_login_date": F.when(use_night, F.col("in1")).otherwise(F.col("in0")),
         "last_logout_date": F.when(use_night, F.col("out1")).otherwise(F.col("out0")),
     }).drop("in0", "in1", "out0", "out1")
+
+
+def shift_spans(shifts: DataFrame) -> DataFrame:
+    """Planned shifts as ``employeeid``, ``start``, ``end``."""
+    midnight = F.unix_timestamp(F.col("date").cast("timestamp"))
+    return shifts.select("employeeid", *[F.timestamp_seconds(midnight + F.col(f"shift_{name}") * 60).alias(name)
+                                         for name in ("start", "end")])
+
+
+def time_in_shift(shifts: DataFrame, sessions: DataFrame, pauses: DataFrame, until=None) -> DataFrame:
+    """Seconds planned, worked, and worked inside and outside the plan, per employee and day.
+
+    ``sessions`` and ``pauses`` have ``employeeid``, ``start``, ``end`` and may overlap; time in a pause is not worked. All
+    spans count on the day they cover, also after midnight; sessions without an end last up to ``until``.
+    """
+    worked = F.col("login") & ~F.col("pause")
+    spans = all_spans({"plan": shift_spans(shifts), "login": sessions, "pause": pauses}, "employeeid")
+    return covered_seconds(spans, "employeeid", {
+        "planned_seconds": F.col("plan"), "worked_seconds": worked, "inside_seconds": worked & F.col("plan"),
+        "outside_seconds": worked & ~F.col("plan"), "absent_seconds": F.col("plan") & ~F.col("login"),
+    }, ["plan", "login", "pause"], until).withColumnRenamed("day", "date").withColumn(
+        "inside_per", percent(F.col("inside_seconds"), F.col("planned_seconds")))

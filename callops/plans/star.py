@@ -183,6 +183,19 @@ class Star:
             )
         )
 
+    def staff_snapshots(self) -> DataFrame:
+        """Monthly snapshots of the customers that order in a month; the order tells lead and designation."""
+        return self.table("orders").select(
+            F.trunc("o_orderdate", "MM").alias("snapshot"), F.col("o_custkey").cast("string").alias("employeeid"),
+            F.col("o_orderpriority").alias("team_lead"), F.col("o_orderstatus").alias("designation"))
+
+    def sessions(self, kinds: tuple[str, ...], minutes: int) -> DataFrame:
+        """Events of some kinds as spans that last ``minutes`` and a minute per whole unit of their value."""
+        start = F.date_trunc("second", "ts")
+        seconds = F.unix_timestamp(start) + 60 * (minutes + F.floor("value"))
+        return self.table("events").where(F.col("event_type").isin(*kinds)).select(
+            F.col("user_id").cast("string").alias("employeeid"), start.alias("start"), F.timestamp_seconds(seconds).alias("end"))
+
     def quality(self) -> DataFrame:
         """Line items as audits of the supplier as agent."""
         agent = F.col("l_suppkey").cast("string")

@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from callops import schema
 from callops.functions.text import expected_rows
+from callops.operators import hashtree
 from callops.operators.checks import audit_rows, key_drift, reconciliation
 from callops.plans.flows import FEED_PREFIXES, FEEDS
 from callops.plans.star import Star
 from callops.queries.registry import query
+from callops.session import work_dir
 from callops.sources import envelope as env
 
 _AGENT = {
@@ -93,3 +95,23 @@ def reconciliation_summary(star: Star):
         audit = audit_rows(FEEDS[table](parsed), env.declared_rows(parsed), table, "landing_db", at)
         audits = audit if audits is None else audits.unionByName(audit)
     return reconciliation(audits, FEED_PREFIXES)
+
+
+_STORED = """
+    WITH landed AS (SELECT o_orderdate::date AS date, o_orderstatus AS status, o_orderkey % 1000 AS id FROM orders),
+    staged AS (SELECT date, CASE WHEN id % 97 = 3 THEN 'X' ELSE status END AS status, id FROM landed WHERE id % 89 <> 5),
+    lost AS (SELECT * FROM landed EXCEPT ALL SELECT * FROM staged), added AS (SELECT * FROM staged EXCEPT ALL SELECT * FROM landed)
+"""
+
+
+@query(_STORED + """
+    SELECT *, 'left' AS side, count(*) AS copies FROM lost GROUP BY ALL
+    UNION ALL SELECT *, 'right' AS side, count(*) AS copies FROM added GROUP BY ALL""")
+def row_reconciliation(star: Star):
+    """Rows in which a staged table differs from the landed one; ids and rows repeat, some rows are lost, some changed."""
+    landed = star.landed().withColumn("id", F.col("id") % 1000)
+    staged = landed.where("id % 89 <> 5").withColumn("status", F.when(F.col("id") % 97 == 3, "X").otherwise(F.col("status")))
+    paths = [work_dir(star.spark, name) for name in ("landed", "staged")]
+    for rows, path in zip((landed, staged), paths):
+        hashtree.write_tree(rows, ["id"], path)
+    return hashtree.row_differences(star.spark, *paths)

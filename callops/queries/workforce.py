@@ -5,8 +5,9 @@ from __future__ import annotations
 from callops.operators.reshape import roster_days
 from callops.plans.adherence import adherence_load, adherence_report
 from callops.plans.people import with_leader_names
+from callops.plans.shifts import planned_shifts, time_in_shift as time_in_shift_plan
 from callops.plans.shrinkage import shrinkage_report
-from callops.plans.star import Star
+from callops.plans.star import LOGIN_EVENTS, Star
 from callops.queries.registry import query
 from callops.queries.sql import exact, pct, with_views
 
@@ -71,3 +72,34 @@ _WORKED = "epoch(date_trunc('second', last_out))::bigint - epoch(date_trunc('sec
 def work_adherence(star: Star):
     employees = with_leader_names(star.employees())
     return adherence_load(adherence_report(star.roster(), star.logins(), star.agent_days(), employees))
+
+
+def _spans(kind: str, events: str, minutes: int) -> str:
+    return f"""SELECT user_id::varchar AS employeeid, '{kind}' AS kind, epoch(date_trunc('second', ts))::bigint AS s,
+        epoch(date_trunc('second', ts))::bigint + 60 * ({minutes} + floor(value)::bigint) AS e
+        FROM events WHERE event_type IN ({events})"""
+
+
+@query(with_views(f"""
+    , spans AS (
+        SELECT employeeid, 'plan' AS kind, epoch(date)::bigint + shift_start * 60 AS s, epoch(date)::bigint + shift_end * 60 AS e FROM shifts
+        UNION ALL {_spans('login', "'click', 'purchase', 'signup'", 90)} UNION ALL {_spans('pause', "'error'", 10)}),
+    parts AS (
+        SELECT employeeid, kind, day, greatest(s, day * 86400) AS s, least(e, (day + 1) * 86400) AS e
+        FROM (SELECT *, unnest(range(s // 86400, (e - 1) // 86400 + 1)) AS day FROM spans WHERE e > s)),
+    points AS (SELECT employeeid, day, s AS t FROM parts UNION SELECT employeeid, day, e FROM parts),
+    pieces AS (SELECT *, lead(t) OVER (PARTITION BY employeeid, day ORDER BY t) AS u FROM points),
+    covered AS (
+        SELECT a.employeeid, a.day, t, u - t AS n, bool_or(kind = 'plan') AS p, bool_or(kind = 'login') AS l, bool_or(kind = 'pause') AS b
+        FROM pieces a JOIN parts c ON c.employeeid = a.employeeid AND c.day = a.day AND c.s <= t AND c.e >= u GROUP BY ALL),
+    sums AS (
+        SELECT employeeid, DATE '1970-01-01' + day::int AS date, coalesce(sum(n) FILTER (p), 0)::bigint AS planned_seconds,
+               coalesce(sum(n) FILTER (l AND NOT b), 0)::bigint AS worked_seconds,
+               coalesce(sum(n) FILTER (p AND l AND NOT b), 0)::bigint AS inside_seconds,
+               coalesce(sum(n) FILTER (l AND NOT b AND NOT p), 0)::bigint AS outside_seconds,
+               coalesce(sum(n) FILTER (p AND NOT l), 0)::bigint AS absent_seconds
+        FROM covered GROUP BY 1, 2)
+    SELECT *, {pct('inside_seconds', 'planned_seconds')} AS inside_per FROM sums""", "shifts"))
+def time_in_shift(star: Star):
+    """Time worked inside and outside planned shifts; sessions overlap, cross midnight and are cut by pauses."""
+    return time_in_shift_plan(planned_shifts(star.roster()), star.sessions(LOGIN_EVENTS, 90), star.sessions(("error",), 10))

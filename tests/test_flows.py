@@ -1,5 +1,6 @@
 """All loads end to end over the small star tables, run twice, and after changes in the source."""
 
+import dataclasses
 import json
 
 import pytest
@@ -10,6 +11,7 @@ from callops import schema
 from callops.operators.windows import quartile_category
 from callops.plans import adherence, calls, csat, flows, interval, people, productivity, quality, shrinkage
 from callops.plans.star import RULES, Star
+from callops.sinks import writers
 from callops.sources import tables
 from callops.streaming.landing import land_stream
 
@@ -116,6 +118,29 @@ def test_reports_equal_the_plans(layers):
         run.staging("bq_refresher_sdb"), staff))
 
 
+def test_people_of_the_reported_day(layers, spark):
+    """Made again after a lead has changed, the report shows the lead of the day."""
+    run, _ = layers
+    days = dict(first_day="2024-01-20", last_day=LAST)
+    before = report(run, "product_csat_rdb").where("date >= '2024-01-20'")
+    path = run.path("staging", "emp_details_sdb")
+    staff = flows._employees(run)
+    writers.write_snapshot(staff, path, "2024-01-02")
+    writers.write_snapshot(staff.withColumn("team_lead", F.lit("new lead")), path, "2024-02-05")
+    try:
+        kept = rows(before)
+        late = dataclasses.replace(run, as_of="2024-02-01", run_id="late", people_of_day=True, **days)
+        flows.report_product_csat(late)
+        assert rows(report(run, "product_csat_rdb").where("date >= '2024-01-20'")) == kept
+        flows.report_product_csat(dataclasses.replace(late, people_of_day=False))
+        assert {r[0] for r in report(run, "product_csat_rdb").where("date >= '2024-01-20' and designation is not null")
+                .select("team_lead").distinct().collect()} == {"new lead"}
+    finally:
+        gone = spark.createDataFrame([(d,) for d in ("2024-01-02", "2024-02-05")], "date string")
+        writers.purge_dates(spark, path, gone, partition="snapshot")
+        flows.report_product_csat(dataclasses.replace(run, **days))
+
+
 def test_call_report_matches_its_gate(layers):
     run, _ = layers
     assert report(run, "exportcall_rdb").count() == calls_staged(run).count()
