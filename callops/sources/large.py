@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -27,6 +28,8 @@ from callops.session import work_dir
 OUTSIDE, STRING, ESCAPE = range(3)
 #: Depth inside the list of rows, and inside a row.
 LIST, ROW = 2, 3
+#: Pieces that are scanned together, at most.
+RUN = 100
 
 _STRING = re.compile(r'"(?:[^"\\]|\\.)*"', re.S)
 _OPEN_STRING = re.compile(r'"(?:[^"\\]|\\.)*(\\?)\Z', re.S)
@@ -72,13 +75,41 @@ def _events(text: str, state: int, depth: int) -> Iterator[tuple[int, str, int,
         last = part[1:-1] if part[0] == '"' else None
 
 
-def _pieces(batches) -> Iterator[tuple[tuple, str, dict]]:
-    """(range, piece with its closing brace, other columns) in file order."""
+def _slices(batches) -> Iterator[tuple[tuple, list[str], dict]]:
+    """(range, its pieces with their closing braces, other columns) in file order; other columns are those of the range."""
     for batch in batches:
-        columns = {name: batch.column(name).to_pylist() for name in batch.schema.names if name != "value"}
-        for i, value in enumerate(batch.column("value").to_pylist()):
-            row = {name: values[i] for name, values in columns.items()}
-            yield (row["file"], row["start"]), value + "}", row
+        if not batch.num_rows:
+            continue
+        file = batch.column("file").dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        start = batch.column("start").to_numpy(zero_copy_only=False)
+        cuts = (np.flatnonzero((file[1:] != file[:-1]) | (start[1:] != start[:-1])) + 1).tolist()
+        for first, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+            told = {name: batch.column(name)[first].as_py() for name in batch.schema.names if name != "value"}
+            values = batch.column("value").slice(first, end - first).to_pylist()
+            yield (told["file"], told["start"]), [value + "}" for value in values], told
+
+
+def _pieces(batches) -> Iterator[tuple[tuple, str, dict]]:
+    """The same, piece by piece."""
+    for place, pieces, told in _slices(batches):
+        for piece in pieces:
+            yield place, piece, told
+
+
+def _runs(batches) -> Iterator[tuple[tuple, str, dict]]:
+    """The same, neighbours without ``[`` put together: what opens an array is only looked for in the others."""
+    for place, pieces, told in _slices(batches):
+        held = []
+        for piece in pieces:
+            if held and ("[" in piece or len(held) == RUN):
+                yield place, "".join(held), told
+                held = []
+            if "[" in piece:
+                yield place, piece, told
+            else:
+                held.append(piece)
+        if held:
+            yield place, "".join(held), told
 
 
 def _transitions(batches):
@@ -92,7 +123,7 @@ def _transitions(batches):
             "file": now[0], "start": now[1], "size": size, "bytes": held, "state": [w[0] for w in ways],
             "change": [w[1] for w in ways], "opened": [list(w[2].items()) for w in ways]}], schema=schema)
 
-    for place, piece, told in _pieces(batches):
+    for place, piece, told in _runs(batches):
         if place != now:
             if now is not None:
                 yield row()
