@@ -10,8 +10,8 @@ from callops.functions import numbers as nm
 from callops.functions import text as tx
 
 
-def _date(c: str = "date") -> Column:
-    return dt.lenient_date(F.col(c).cast("string"))
+def _date(df: DataFrame, c: str = "date") -> Column:
+    return F.col(c) if dict(df.dtypes)[c] == "date" else dt.lenient_date(F.col(c).cast("string"))
 
 
 def _doubles_without_nan(df: DataFrame) -> DataFrame:
@@ -26,7 +26,8 @@ def _upper(df: DataFrame, name: str) -> DataFrame:
 
 def readable(c: str, value: Column) -> Column:
     """Whether a text says what it should: nothing, or something that can be read."""
-    return tx.blank_to_null(F.col(c).cast("string")).isNull() | value.isNotNull()
+    # nearly all can be read, and no more than this test is spent on them
+    return value.isNotNull() | tx.blank_to_null(F.col(c).cast("string")).isNull()
 
 
 CALL_NUMBERS = ("cust_talk_sec", "customer_hold_time", "wrap_up_time", "queue_seconds")
@@ -70,32 +71,32 @@ def clean_forecast(df: DataFrame) -> DataFrame:
 
 
 def clean_csat_scores(df: DataFrame) -> DataFrame:
-    return _upper(df.withColumn("date", _date()), "agentname").select(*schema.CSAT_SCORES)
+    return _upper(df.withColumn("date", _date(df)), "agentname").select(*schema.CSAT_SCORES)
 
 
 def clean_ftr(df: DataFrame) -> DataFrame:
-    return _upper(df.withColumn("date", _date()), "full_name").select(*schema.FTR_IVR)
+    return _upper(df.withColumn("date", _date(df)), "full_name").select(*schema.FTR_IVR)
 
 
 def clean_quality(df: DataFrame) -> DataFrame:
     """Quality audits: names upper-case without no-break spaces, ids trimmed."""
     return df.withColumns({
-        "date": _date(),
+        "date": _date(df),
         "agent_name": tx.drop_nbsp(F.col("agent_name")),
         "agent_id": tx.strip(F.col("agent_id")),
     }).select(*schema.QUALITY)
 
 
 def clean_knowledge(df: DataFrame) -> DataFrame:
-    return _upper(df.withColumn("date", _date()), "Employee_Name_").select(*schema.KNOWLEDGE_TEST)
+    return _upper(df.withColumn("date", _date(df)), "Employee_Name_").select(*schema.KNOWLEDGE_TEST)
 
 
 def clean_training(df: DataFrame) -> DataFrame:
-    return _doubles_without_nan(_upper(df.withColumn("date", _date()), "name").select(*schema.TRAINING))
+    return _doubles_without_nan(_upper(df.withColumn("date", _date(df)), "name").select(*schema.TRAINING))
 
 
 def clean_refresher(df: DataFrame) -> DataFrame:
-    typed = df.withColumn("date_of_refresher", _date("date_of_refresher"))
+    typed = df.withColumn("date_of_refresher", _date(df, "date_of_refresher"))
     return _doubles_without_nan(_upper(typed, "agent_name").select("date", *schema.REFRESHER))
 
 
@@ -118,5 +119,5 @@ def clean_employees(df: DataFrame, columns: list[str] = schema.EMPLOYEES) -> Dat
 
 def clean_attrition(df: DataFrame, lob: str) -> DataFrame:
     """One line of business; unreadable dates become NULL."""
-    return _upper(df.where(F.col("lob") == lob).withColumn("date", _date()), "employeename").select(
+    return _upper(df.where(F.col("lob") == lob).withColumn("date", _date(df)), "employeename").select(
         *schema.ATTRITION)
