@@ -1,10 +1,12 @@
 import datetime as d
+import re
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from callops.operators import gates
+from callops.session import AS_DEALT, settings
 from callops.sinks import writers
 from callops.sources import tables
 
@@ -128,3 +130,37 @@ def test_read_missing_table(spark, path):
 def test_read_dates(spark, path):
     writers.replace_dates(frame(spark, (1, "a"), (2, "b")), path)
     assert rows(tables.read_dates(spark, path, frame(spark, (2, "")), ["date", "v"])) == [(day(2), "b")]
+
+
+def looked_up(spark):
+    """Rows of two dates, one of them big; a key has most of its rows, and some have none. NULL marks what no lookup row is for."""
+    facts = [(day(1 + (k % 9 == 0)), "hot" if k % 3 else None if k % 7 == 0 else f"k{k % 50}", k) for k in range(900)] + [(None, "hot", -1)]
+    df = spark.createDataFrame(facts, "date date, key string, id int").repartition(6)
+    table = (df.dropna().groupBy("date", "key").agg(F.count(F.lit(1)).alias("n"), F.min("id").cast("string").alias("first"))
+             .where("key <> 'k13'"))
+    counts = df.groupBy("date").agg(F.count(F.lit(1)).alias("source_rows")).withColumn("action", F.lit("reload"))
+    return df, table, counts
+
+
+def test_lookup_of_a_write_equals_a_plain_join(spark, path, monkeypatch):
+    monkeypatch.setattr(writers, "ROWS_PER_FILE", 100)
+    monkeypatch.setattr(writers, "ROWS_PER_TASK", 60)
+    df, table, counts = looked_up(spark)
+    df = df.where("date is not null")
+    writers.replace_dates(df, path, counts=counts, lookup=writers.Lookup(table, "key", "n"), finish=lambda rows: rows.select("date", "id", "key", "first"))
+    want = df.join(table.drop("n"), ["date", "key"], "left").select("id", "key", "first", "date")
+    assert rows(spark.read.parquet(path).select("id", "key", "first", "date")) == rows(want)
+    # the big date has 800 rows, 533 of them of one key
+    files = spark.read.parquet(path).where(F.col("date") == F.lit(day(1))).groupBy(F.input_file_name()).count().select("count").collect()
+    assert max(r[0] for r in files) < 300 and len(files) > 3
+
+
+def test_rows_with_a_lookup_are_shuffled_once(spark, monkeypatch):
+    monkeypatch.setattr(writers, "ROWS_PER_TASK", 60)
+    df, table, counts = looked_up(spark)
+    with settings(spark, AS_DEALT):
+        placed = writers._by_date(df.coalesce(1), "date", counts, writers.Lookup(table, "key", "n"))
+        plan = placed.sortWithinPartitions("date")._jdf.queryExecution().executedPlan().toString()
+    by_place = [x for x in plan.splitlines() if "REPARTITION_BY_NUM" in x and "_part" in x]
+    assert len(by_place) == 2 and all(re.search(r"hashpartitioning\(date#\d+, _part#\d+L, 16\)", x) for x in by_place)
+    assert rows(placed.select("id", "first")) == rows(df.join(table, ["date", "key"], "left").select("id", "first"))
