@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from callops.llm.common import map_arrow, text_of, written
-from callops.session import work_dir
+from callops.session import settings, work_dir
 
 #: Plain bytes of a frame and of a bundle; a record larger than a frame has a frame of its own.
 FRAME_BYTES = 1 << 20
@@ -172,7 +172,9 @@ def write(pages: DataFrame, least: int = 0, page_id: str = "page_id", url: str =
             bundle.close()
             yield _index(bundle)
 
-    index = written(map_arrow(told, run, "bundle string, record_id string, frame int, start long, length long"), "index")
+    # tables of less than a MB a core are written by several tasks too; larger ones are dealt as ever
+    with settings(pages.sparkSession, {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b"}):
+        index = written(map_arrow(told, run, "bundle string, record_id string, frame int, start long, length long"), "index")
     return index.groupBy("bundle").agg(F.count(F.lit(1)).alias("records")), index
 
 
